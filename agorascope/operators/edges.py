@@ -86,7 +86,7 @@ def mention_edges(
 ) -> DataFrame:
     """Author of a comment to each account it mentions, read from the raw text."""
     source = replies_and_mentions_source(messages, comment_topic, run_time)
-    named = source.select("src", "seen", F.explode(mentions(F.col(text))).alias("name"))
+    named = source.select("src", "seen", F.explode_outer(mentions(F.col(text))).alias("name"))
     linked = named.select(
         "src", account(F.col("name")).alias("dst"), F.lit("mention").alias("edge_type"), "seen"
     ).filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))

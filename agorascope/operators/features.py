@@ -12,25 +12,29 @@ from agorascope.functions import text
 from agorascope.operators.lineage import cut
 
 
-def terms(c: Column, stop_words: Sequence[str] = (), ngrams: int = 2) -> Column:
-    """Words that are not stop words and, for `ngrams` 2, pairs of neighbours among them."""
-    words = text.tokens(c)
+def with_terms(
+    docs: DataFrame, text_col: str, stop_words: Sequence[str] = (), ngrams: int = 2, name: str = "terms"
+) -> DataFrame:
+    """Adds the words that are not stop words and, for `ngrams` 2, the pairs of neighbours among them.
+
+    The words are a column of their own, so that the pairs read them instead of splitting the text again.
+    """
+    words = text.tokens(F.coalesce(F.col(text_col), F.lit("")))
     if stop_words:
         words = F.filter(words, lambda w: ~w.isin(list(stop_words)))
     if ngrams == 1:
-        return words
-    firsts = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.concat(words, F.transform(firsts, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1))))
+        return docs.withColumn(name, words)
+    firsts = F.slice("_words", 1, F.greatest(F.size("_words") - 1, F.lit(0)))
+    pairs = F.transform(firsts, lambda w, i: F.concat_ws(" ", w, F.get("_words", i + 1)))
+    return docs.withColumn("_words", words).withColumn(name, F.concat("_words", pairs)).drop("_words")
 
 
 def term_counts(
     docs: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = (), ngrams: int = 2
 ) -> DataFrame:
     """(id, term, n). Counted inside each document's row from its sorted terms, without a shuffle."""
-    found = docs.select(
-        id_col,
-        F.array_sort(terms(F.coalesce(F.col(text_col), F.lit("")), stop_words, ngrams)).alias("_t"),
-    )
+    found = with_terms(docs.select(id_col, text_col), text_col, stop_words, ngrams, "_t")
+    found = found.select(id_col, F.array_sort("_t").alias("_t"))
     marked = F.transform("_t", lambda t, i: F.struct(t.alias("term"), i.alias("last")))
     lasts = found.select(
         id_col,
@@ -113,7 +117,8 @@ def top_terms(features: DataFrame, id_col: str, k: int = 5) -> DataFrame:
             lambda x: F.struct((-F.round(x["weight"], 9)).alias("minus"), x["term"].alias("term")),
         )
     )
-    best = F.posexplode(F.slice(ordered, 1, k)).alias("_i", "_x")
-    return features.select(id_col, best).select(
+    listed = features.select(id_col, F.slice(ordered, 1, k).alias("_best"))
+    best = listed.select(id_col, F.posexplode_outer("_best").alias("_i", "_x"))
+    return best.filter(F.col("_x").isNotNull()).select(
         id_col, (F.col("_i") + 1).alias("rank"), "_x.term", (-F.col("_x.minus")).alias("weight")
     )

@@ -81,15 +81,17 @@ def _word_rows(docs: DataFrame, id_col: str, text_col: str, rules: Rules) -> Dat
         missing.alias("w3"), missing.alias("after"),
     )
     capitals = F.size(F.filter(words, _is_upper))
-    return spaced.select(
+    # Values of the document come before the rows of its words, or they would be computed per word.
+    per_document = spaced.select(
         id_col,
         ((capitals > 0) & (capitals < F.size(words))).alias("mixed"),
         F.array_position(F.transform(words, F.lower), rules.contrast).alias("turn"),
         _emphasis(F.col("_text")).alias("emphasis"),
         (text.strip(F.col("_text")) == "").alias("blank"),
-        # Never empty. The outer form keeps Spark from adding a filter that would build the array twice.
-        F.inline_outer(F.concat(F.transform(words, around), F.array(carrier))),
+        F.concat(F.transform(words, around), F.array(carrier)).alias("_rows"),
     )
+    # Never empty. The outer form keeps Spark from adding a filter that would build the array twice.
+    return per_document.select(id_col, "mixed", "turn", "emphasis", "blank", F.inline_outer("_rows"))
 
 
 def _adjusted(rules: Rules) -> list[tuple[str, Column]]:
@@ -202,7 +204,7 @@ def mean_polarity(
         F.lit(NO_TOKEN).alias("word"), F.lit(None).cast("double").alias("v")
     )
     found = text.tokens(F.coalesce(F.col(text_col), F.lit("")))
-    numbered = F.posexplode(F.concat(found, F.array(F.lit(NO_TOKEN))))
+    numbered = F.posexplode_outer(F.concat(found, F.array(F.lit(NO_TOKEN))))
     rows = docs.select(id_col, numbered.alias("i", "word"))
     rows = _join_lexicon(rows, lexicon.unionByName(carrier), "word", "inner", small)
     return rows.groupBy(id_col).agg(F.coalesce(F.avg("v"), F.lit(0.0)).alias("polarity"))

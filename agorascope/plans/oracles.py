@@ -473,14 +473,14 @@ SELECT model, true_label, CAST(sum(n) FILTER (predicted = 'neg') AS BIGINT) AS n
        CAST(sum(n) FILTER (predicted = 'pos') AS BIGINT) AS pos
 FROM cells GROUP BY model, true_label""",
     "classification_report": f"""WITH {JUDGED_CTE},
-sums AS (
+tallies AS (
   SELECT c.model, l.label, sum(n) FILTER (true_label = l.label AND predicted = l.label) AS hit,
          sum(n) FILTER (predicted = l.label) AS guessed, sum(n) FILTER (true_label = l.label) AS support
   FROM cells c CROSS JOIN names l GROUP BY ALL
 ),
 rates AS (
   SELECT *, CASE WHEN guessed = 0 THEN 0.0 ELSE hit / guessed END AS p,
-         CASE WHEN support = 0 THEN 0.0 ELSE hit / support END AS r FROM sums
+         CASE WHEN support = 0 THEN 0.0 ELSE hit / support END AS r FROM tallies
 ),
 scored AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM rates)
 SELECT model, label, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1,
