@@ -12,6 +12,7 @@ from agorascope.operators.rows import seeded_key, top_k, with_row_index
 from agorascope.operators.skew import fits_broadcast, hot_keys, spread_join
 
 EXACT_NODES = 500
+STATE_ROWS = 500_000_000
 
 
 def number_nodes(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -25,14 +26,14 @@ def number_nodes(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, cut(numbered, "edges")
 
 
-def _step(state: DataFrame, links: DataFrame, hot: DataFrame, small: bool) -> DataFrame:
+def _step(state: DataFrame, links: DataFrame, hot: DataFrame | None, small: bool) -> DataFrame:
     """Join (.., node, ..) to the links that leave its node; a hub's links are spread over tasks."""
     if small:
         return state.join(F.broadcast(links), "node")
     return spread_join(links, state, ["node"], hot=hot)
 
 
-def _distances(scratch: Scratch, pivots: DataFrame, links: DataFrame, hot: DataFrame, small: bool) -> DataFrame:
+def _distances(scratch: Scratch, pivots: DataFrame, links: DataFrame, hot: DataFrame | None, small: bool) -> DataFrame:
     """(pivot, node, dist): shortest distances, relaxing only what the last round improved."""
     zero = F.lit(0).cast("long")
     state = scratch.cut(
@@ -83,7 +84,7 @@ def _spread_along(
 
 
 def _dependencies(
-    scratch: Scratch, pivots: DataFrame, links: DataFrame, hot: DataFrame, small: bool
+    scratch: Scratch, pivots: DataFrame, links: DataFrame, hot: DataFrame | None, small: bool
 ) -> DataFrame:
     """(node, value): dependency of the pivots on each node, summed over them (Brandes 2001)."""
     dist = _distances(scratch, pivots, links, hot, small).select("pivot", "node", "dist")
@@ -109,12 +110,12 @@ def _dependencies(
 
 
 def betweenness(
-    edges: DataFrame, pivots: int | None = None, seed: int = 42, batch: int = 128
+    edges: DataFrame, pivots: int | None = None, seed: int = 42, batch: int | None = None
 ) -> DataFrame:
     """(node, betweenness), directed, weights as distances, normalised.
 
     By default exact up to 500 nodes and from 500 seeded pivots beyond. Pivots are handled `batch`
-    at a time; lower it when nodes x batch rows of state are too many.
+    at a time, by default so many that a batch holds at most STATE_ROWS distances.
     """
     nodes, numbered = number_nodes(directed(edges))
     n = nodes.count()
@@ -123,7 +124,8 @@ def betweenness(
         return nodes.select("node", F.lit(0.0).alias("betweenness"))
     links = numbered.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
     small = fits_broadcast(links)
-    hot = cut(hot_keys(links, ["node"]), "hot")
+    hot = None if small else cut(hot_keys(links, ["node"]), "hot")
+    batch = batch or max(1, STATE_ROWS // n)
     chosen = nodes.orderBy(seeded_key("node", seed), "node").limit(k).select(F.col("id").alias("pivot"))
     chosen = cut(with_row_index(chosen, [F.asc("pivot")], "turn"), "pivots")
     scratch = Scratch(edges.sparkSession, "betweenness")
@@ -142,7 +144,7 @@ def betweenness(
     )
 
 
-def graph_metrics(edges: DataFrame, pivots: int | None = None, seed: int = 42, batch: int = 128) -> DataFrame:
+def graph_metrics(edges: DataFrame, pivots: int | None = None, seed: int = 42, batch: int | None = None) -> DataFrame:
     """Degrees and betweenness per node, largest total degree first."""
     between = betweenness(edges, pivots, seed, batch)
     return (
@@ -164,7 +166,7 @@ def eigenvector(edges: DataFrame, rounds: int = 100, tolerance: float = 1e-6) ->
     n = nodes.count()
     small = fits_broadcast(numbered)
     links = numbered.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
-    hot = cut(hot_keys(links, ["node"]), "hot")
+    hot = None if small else cut(hot_keys(links, ["node"]), "hot")
     scratch = Scratch(edges.sparkSession, "eigenvector")
     vector = scratch.cut(nodes.select(F.col("id").alias("node"), F.lit(1.0 / n).alias("x")))
     for _ in range(rounds):

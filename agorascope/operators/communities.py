@@ -14,7 +14,8 @@ from agorascope.operators.lineage import Scratch, cut
 from agorascope.operators.rows import top_k, with_row_index
 from agorascope.operators.skew import fits_broadcast, hot_keys, spread_join
 
-MIN_GAIN = 1e-7
+MIN_GAIN = 1e-7  # of one move, in edge weight
+TOLERANCE = 1e-6  # of one round, in modularity
 
 
 @dataclass
@@ -26,9 +27,11 @@ class Level:
     two_m: float
 
 
-def _attach(rows: DataFrame, labels: DataFrame, on: str, hot: DataFrame, small: bool) -> DataFrame:
+def _attach(rows: DataFrame, labels: DataFrame, on: str, hot: DataFrame | None, small: bool) -> DataFrame:
     if small:
         return rows.join(F.broadcast(labels), on)
+    if hot is not None:
+        hot = hot.withColumnRenamed("node", on)
     return spread_join(rows, labels, [on], hot=hot)
 
 
@@ -43,23 +46,23 @@ def _nodes(level: Level) -> DataFrame:
     return outer.unionByName(own).groupBy("node").agg(F.sum("inner").alias("inner"), F.sum("k").alias("k"))
 
 
-def _best_moves(
-    scratch: Scratch, both: DataFrame, labels: DataFrame, two_m: float, hot: DataFrame, small: bool
-) -> tuple[DataFrame, float]:
-    """For every node its best community; also the modularity of the labels as they are."""
-    totals = scratch.cut(labels.groupBy("community").agg(F.sum("k").alias("total")))
+def _move(
+    both: DataFrame, labels: DataFrame, two_m: float, turn: int, hot: DataFrame | None, small: bool
+) -> DataFrame:
+    """Labels after one round. `own` is the label before it, `own_w` the weight to others with that label."""
+    totals = labels.groupBy(F.col("community").alias("target")).agg(F.sum("k").alias("total"))
     here = labels.select("node", F.col("community").alias("own"), "k", "inner")
     there = labels.select(F.col("node").alias("next"), F.col("community").alias("target"))
-    linked = _attach(_attach(both, there, "next", hot.withColumnRenamed("node", "next"), small), here, "node", hot, small)
-    staying = here.select("node", "own", "k", "inner", F.col("own").alias("target"), F.lit(0.0).alias("weight"))
+    linked = _attach(both, there, "next", hot, small)
+    linked = _attach(linked, here, "node", hot, small)
+    staying = here.select("*", F.col("own").alias("target"), F.lit(0.0).alias("weight"))
     links = (
-        linked.select("node", "own", "k", "inner", "target", "weight")
+        linked.select(staying.columns)
         .unionByName(staying)
         .groupBy("node", "own", "k", "inner", "target")
         .agg(F.sum("weight").alias("w"))
     )
-    named = totals.withColumnRenamed("community", "target")
-    rated = links.join(F.broadcast(named), "target") if small else spread_join(links, named, ["target"])
+    rated = _attach(links, totals, "target", None, small)
     stays = F.col("target") == F.col("own")
     rest = F.col("total") - F.when(stays, F.col("k")).otherwise(0.0)
     gain = F.col("w") - F.col("k") * rest / two_m
@@ -71,50 +74,45 @@ def _best_moves(
         F.max(F.when(stays, gain)).alias("own_gain"),
         F.max(F.when(stays, F.col("w"))).alias("own_w"),
     )
-    moves = scratch.cut(
-        best.select(
-            "node", "own", "k", "inner", "own_w",
-            (-F.col("best.minus")).alias("target"),
-            (F.col("best.gain") - F.col("own_gain")).alias("better"),
-        )
+    chance = F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == turn % 2
+    goes = chance & (F.col("best.gain") - F.col("own_gain") > MIN_GAIN)
+    chosen = F.when(goes, -F.col("best.minus")).otherwise(F.col("own"))
+    return best.select("node", "inner", "k", "own", "own_w", chosen.alias("community"))
+
+
+def _quality(after: DataFrame, two_m: float) -> float:
+    """Modularity of the labels before a round, from what the round summed up."""
+    sums = after.groupBy("own").agg(
+        F.sum(F.col("own_w") + 2 * F.col("inner")).alias("inside"), F.sum("k").alias("total")
     )
-    inside = moves.agg(F.sum(F.col("own_w") + 2 * F.col("inner"))).first()[0]
-    squares = totals.agg(F.sum(F.col("total") * F.col("total"))).first()[0]
-    scratch.release(totals)
-    return moves, inside / two_m - squares / (two_m * two_m)
+    inside, squares = sums.agg(F.sum("inside"), F.sum(F.col("total") * F.col("total"))).first()
+    return inside / two_m - squares / (two_m * two_m)
 
 
-def _local_moves(scratch: Scratch, level: Level, rounds: int) -> tuple[DataFrame, float, bool]:
+def _local_moves(scratch: Scratch, level: Level, rounds: int) -> tuple[DataFrame, bool]:
     """Nodes move to the neighbouring community of largest gain, half of them per round.
 
-    Returns labels, their modularity, and whether any node moved. Labels are kept only while
-    modularity rises.
+    Returns the labels of the last round that raised modularity, and whether any did.
     """
     forward = level.pairs.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
     backward = level.pairs.select(F.col("dst").alias("node"), F.col("src").alias("next"), "weight")
     both = scratch.cut(forward.unionByName(backward))
-    nodes = scratch.cut(_nodes(level))
-    hot = scratch.cut(hot_keys(both, ["node"]))
-    small = fits_broadcast(nodes)
-    labels = nodes.withColumn("community", F.col("node"))
-    kept, kept_q, still, moved = labels, None, 0, False
+    labels = scratch.cut(_nodes(level).withColumn("community", F.col("node")))
+    small = fits_broadcast(labels)
+    hot = None if small else scratch.cut(hot_keys(both, ["node"]))
+    kept, first, best, idle = labels, None, None, 0
     for turn in range(rounds + 1):
-        moves, q = _best_moves(scratch, both, labels, level.two_m, hot, small)
-        if kept_q is not None and q < kept_q:
+        after = scratch.cut(_move(both, labels, level.two_m, turn, hot, small))
+        q = _quality(after, level.two_m)
+        if best is not None and q < best:
             break  # the last round made it worse: drop it
-        moved = moved or (kept_q is not None and q > kept_q + MIN_GAIN)
-        still = still + 1 if kept_q is not None and q - kept_q <= MIN_GAIN else 0
-        kept, kept_q = labels, q
-        if still == 2 or turn == rounds:
+        idle = idle + 1 if best is not None and q - best <= TOLERANCE else 0
+        kept, best = labels, q
+        first = q if first is None else first
+        if idle == 2:
             break
-        chance = F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == turn % 2
-        goes = chance & (F.col("better") > MIN_GAIN)
-        labels = scratch.cut(
-            moves.select(
-                "node", "inner", "k", F.when(goes, F.col("target")).otherwise(F.col("own")).alias("community")
-            )
-        )
-    return kept, kept_q, moved
+        labels = after
+    return kept, best - first > TOLERANCE
 
 
 def _contract(scratch: Scratch, level: Level, labels: DataFrame) -> Level:
@@ -156,7 +154,7 @@ def louvain(edges: DataFrame, rounds: int = 12, levels: int = 6) -> DataFrame:
     member = names.withColumn("community", F.col("node"))
     level = Level(ordered, loops, two_m)
     for _ in range(levels if two_m else 0):
-        labels, _, moved = _local_moves(scratch, level, rounds)
+        labels, moved = _local_moves(scratch, level, rounds)
         if not moved:
             break
         side = labels.select(F.col("node").alias("community"), F.col("community").alias("above"))

@@ -72,8 +72,10 @@ def reply_edges(
     """
     source = replies_and_mentions_source(messages, comment_topic, run_time)
     summed = accumulate(_start(source.select("parent_id", "src", "seen")), "parent_id", "src")
-    authors = parent_authors(messages if parents is None else parents)
-    joined = lookup_join(summed, authors, ["parent_id"])
+    parents = messages if parents is None else parents
+    joined = lookup_join(
+        summed, parent_authors(parents), ["parent_id"], bound=parents, keys_from=source.select("parent_id")
+    )
     linked = joined.filter(F.col("src") != F.col("dst"))
     return accumulate(linked.withColumn("edge_type", F.lit("reply")), *EDGE_KEY)
 

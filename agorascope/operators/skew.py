@@ -74,8 +74,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
+    bound: DataFrame | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join `big` to a lookup table: broadcast when the table is counted small, else spread hot keys."""
-    if fits_broadcast(small, max_rows):
+    """Join `big` to a lookup table: broadcast when the table is counted small, else spread hot keys.
+
+    `bound` is a table with at least as many rows that is cheaper to count, `keys_from` one with the
+    key columns of `big` that is cheaper to read.
+    """
+    if fits_broadcast(small if bound is None else bound, max_rows):
         return big.join(F.broadcast(small), list(on), how)
-    return spread_join(big, small, on, how)
+    hot = None if keys_from is None else hot_keys(keys_from, on)
+    return spread_join(big, small, on, how, hot)

@@ -65,13 +65,18 @@ def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return files.balanced(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges.interaction_edges(social(spark, sf_dir))
 
 
+def _stored_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges as the graph jobs read them, from a table."""
+    return cut(_edges(spark, sf_dir), "edges")
+
+
 # --- messages and text ---
 
 
@@ -261,7 +266,7 @@ def latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5, A18."""
     raw = messages.parse(messages.decode(_published(spark, sf_dir)))
-    links = cut(_edges(spark, sf_dir), "edges")
+    links = _stored_edges(spark, sf_dir)
     return aggregates.row_counts(
         raw=raw, processed=messages.processed(raw), edges=links, nodes=graph.vertices(links)
     )
@@ -342,7 +347,7 @@ def _fixed_partition(links: DataFrame) -> DataFrame:
 @query
 def modularity_of_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G5 for the partition by user number."""
-    pairs = edges.undirected(_edges(spark, sf_dir))
+    pairs = edges.undirected(_stored_edges(spark, sf_dir))
     quality_row = graph.modularity(pairs, _fixed_partition(pairs))
     return quality_row.withColumn("modularity", F.round("modularity", 9))
 
@@ -350,7 +355,7 @@ def modularity_of_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def top_degree_subgraph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G6, K5, J2, J3, F13; community 4 is left out of the labels, so its nodes show -1."""
-    links = _edges(spark, sf_dir)
+    links = _stored_edges(spark, sf_dir)
     labels = _fixed_partition(links).filter("community <> 4")
     return graph.top_degree_subgraph(links, labels, 60)[0]
 
@@ -358,7 +363,7 @@ def top_degree_subgraph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def top_degree_subgraph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G6, J3, J4."""
-    links = _edges(spark, sf_dir)
+    links = _stored_edges(spark, sf_dir)
     labels = _fixed_partition(links).filter("community <> 4")
     return graph.top_degree_subgraph(links, labels, 60)[1]
 
@@ -366,28 +371,28 @@ def top_degree_subgraph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def betweenness_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact up to 500 nodes, else from 500 pivots."""
-    metrics = centrality.graph_metrics(_edges(spark, sf_dir))
+    metrics = centrality.graph_metrics(_stored_edges(spark, sf_dir))
     return metrics.withColumn("betweenness", F.round("betweenness", 9))
 
 
 @query
 def betweenness_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G3 from 32 pivots."""
-    between = centrality.betweenness(_edges(spark, sf_dir), pivots=32)
+    between = centrality.betweenness(_stored_edges(spark, sf_dir), pivots=32)
     return between.withColumn("betweenness", F.round("betweenness", 9))
 
 
 @query
 def eigenvector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D4."""
-    found = centrality.eigenvector(_edges(spark, sf_dir))
+    found = centrality.eigenvector(_stored_edges(spark, sf_dir))
     return found.withColumn("centrality", F.round("centrality", 5))
 
 
 @query
 def louvain_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run summary."""
-    _, _, summary = communities.community_outputs(_edges(spark, sf_dir))
+    _, _, summary = communities.community_outputs(_stored_edges(spark, sf_dir))
     listed = F.transform("top10_sizes", lambda x: F.concat_ws(":", x["community"], x["size"]))
     return summary.withColumn("top10_sizes", F.concat_ws(",", listed)).withColumn(
         "modularity", F.round("modularity", 9)

@@ -23,6 +23,15 @@ def read_table(
     return table.select(*columns)
 
 
+def balanced(table: DataFrame, key: str) -> DataFrame:
+    """A scan spread over all cores when its files split into fewer parts than there are cores.
+
+    For plain scans of text that costs much work per row; large tables split well and stay as read.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-16") -> DataFrame:
     """One JSON object per line, blank lines skipped.
 
