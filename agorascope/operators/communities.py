@@ -16,6 +16,7 @@ from agorascope.operators.skew import fits_broadcast, hot_keys, spread_join
 
 MIN_GAIN = 1e-7  # of one move, in edge weight
 TOLERANCE = 1e-6  # of one round, in modularity
+IDLE_ROUNDS = 4
 
 
 @dataclass
@@ -92,7 +93,8 @@ def _quality(after: DataFrame, two_m: float) -> float:
 def _local_moves(scratch: Scratch, level: Level, rounds: int) -> tuple[DataFrame, bool]:
     """Nodes move to the neighbouring community of largest gain, half of them per round.
 
-    Returns the labels of the last round that raised modularity, and whether any did.
+    Labels that turn out worse are dropped, and the next round moves other nodes from the labels
+    before. Returns the best labels, and whether they are better than single nodes.
     """
     forward = level.pairs.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
     backward = level.pairs.select(F.col("dst").alias("node"), F.col("src").alias("next"), "weight")
@@ -104,14 +106,15 @@ def _local_moves(scratch: Scratch, level: Level, rounds: int) -> tuple[DataFrame
     for turn in range(rounds + 1):
         after = scratch.cut(_move(both, labels, level.two_m, turn, hot, small))
         q = _quality(after, level.two_m)
-        if best is not None and q < best:
-            break  # the last round made it worse: drop it
-        idle = idle + 1 if best is not None and q - best <= TOLERANCE else 0
-        kept, best = labels, q
         first = q if first is None else first
-        if idle == 2:
+        idle = 0 if best is None or q > best + TOLERANCE else idle + 1
+        if best is None or q >= best:
+            kept, best = labels, q
+            labels = after
+        else:
+            labels = kept
+        if idle == IDLE_ROUNDS:
             break
-        labels = after
     return kept, best - first > TOLERANCE
 
 
@@ -132,7 +135,7 @@ def _contract(scratch: Scratch, level: Level, labels: DataFrame) -> Level:
     return Level(merged.filter("src <> dst"), loops, level.two_m)
 
 
-def louvain(edges: DataFrame, rounds: int = 12, levels: int = 6) -> DataFrame:
+def louvain(edges: DataFrame, rounds: int = 16, levels: int = 6) -> DataFrame:
     """(node, community), communities numbered from 0 by size, then by smallest member name.
 
     Blondel et al. 2008 with moves made in parallel: in every round half of the nodes, chosen by a
@@ -171,7 +174,7 @@ def louvain(edges: DataFrame, rounds: int = 12, levels: int = 6) -> DataFrame:
     return final
 
 
-def community_outputs(edges: DataFrame, rounds: int = 12, levels: int = 6) -> tuple[DataFrame, DataFrame, DataFrame]:
+def community_outputs(edges: DataFrame, rounds: int = 16, levels: int = 6) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(node to community, community sizes, one-row run summary)."""
     pairs = undirected(edges)
     labels = louvain(edges, rounds, levels)
