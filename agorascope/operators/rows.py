@@ -68,7 +68,7 @@ def stratified_split(
             (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_need"),
         )
     )
-    placed = lookup_join(keyed, cuts, [label_col])
+    placed = lookup_join(keyed, cut(cuts, "cuts"), [label_col])
     sure = placed.filter(F.col("_b") != F.col("_cut")).withColumn("is_test", F.col("_b") < F.col("_cut"))
     edge_order = W.partitionBy(label_col).orderBy("_h", id_col)
     edge = (

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agorascope.operators.aggregates import window_volume
 from agorascope.operators.rows import first_per_key, top_per_group
-from agorascope.operators.skew import lookup_join
 
 
 def top_in_windows(
@@ -21,11 +21,8 @@ def top_in_windows(
 def label_trend(labelled: DataFrame, duration: str = "1 day", time: str = "event_ts", label: str = "label") -> DataFrame:
     """D3: rows and share per window and label (a sentiment or a topic)."""
     counts = window_volume(labelled.filter(F.col(label).isNotNull()), duration, time, (label,))
-    totals = counts.groupBy("window_start").agg(F.sum("volume").alias("total"))
-    shared = lookup_join(counts, totals, ["window_start"])
-    return shared.select(
-        "window_start", "window_end", label, "volume", (F.col("volume") / F.col("total")).alias("share")
-    )
+    total = F.sum("volume").over(W.partitionBy("window_start"))  # one row per label
+    return counts.withColumn("share", F.col("volume") / total)
 
 
 def dominant_topic(weights: DataFrame, id_col: str) -> DataFrame:

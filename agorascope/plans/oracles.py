@@ -450,6 +450,18 @@ FROM inside JOIN marked a ON a.node = src JOIN marked b ON b.node = dst""",
 SELECT node, in_degree_w, out_degree_w, degree_w, betweenness FROM degrees JOIN betweenness USING (node)""",
     "betweenness_sampled": f"""WITH RECURSIVE {_betweenness_cte("32")}
 SELECT node, betweenness FROM betweenness""",
+    "eigenvector": f"""WITH RECURSIVE {EDGES_CTE},
+power(node, x, h) AS (
+  SELECT node, CAST(1 AS DOUBLE), 0 FROM nodes
+  UNION ALL
+  SELECT node, x / sqrt(sum(x * x) OVER ()), h + 1 FROM (
+    SELECT node, h, sum(x) AS x FROM (
+      SELECT node, x, h FROM power WHERE h < 100
+      UNION ALL
+      SELECT d.dst, p.x * d.weight, p.h FROM power p JOIN directed d ON d.src = p.node WHERE p.h < 100)
+    GROUP BY node, h)
+)
+SELECT node, round(x, 6) AS centrality FROM power WHERE h = 100""",
     "lexicon_sentiment": f"""WITH {COMPOUND_CTE}
 SELECT doc_id, round(compound, 3) AS sentiment_compound,
        {_short_label("compound", True, fixed.LONG_LABELS)} AS sentiment_label,

@@ -385,8 +385,8 @@ def betweenness_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def eigenvector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D4."""
-    found = centrality.eigenvector(_stored_edges(spark, sf_dir))
-    return found.withColumn("centrality", F.round("centrality", 5))
+    found = centrality.eigenvector(_stored_edges(spark, sf_dir), tolerance=1e-9)
+    return found.withColumn("centrality", F.round("centrality", 6))
 
 
 @query

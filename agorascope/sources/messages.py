@@ -59,7 +59,9 @@ def parse(decoded: DataFrame, topics: Mapping[str, T.StructType] = TOPICS) -> Da
             columns.setdefault(name, []).append(F.col(f"_{i}.{name}"))
     parsed = decoded.filter(F.col("topic").isin(*topics)).withColumns(bodies)
     united = [F.coalesce(*parts).alias(name) for name, parts in columns.items()]
-    return parsed.select("topic", "kafka_ts", *united)
+    # Rows pass through a generator so that later filters on fields stay above the parsing; pushed
+    # below it they would parse every message once more.
+    return parsed.select("topic", "kafka_ts", F.inline(F.array(F.struct(*united))))
 
 
 def processed(raw: DataFrame) -> DataFrame:
