@@ -9,7 +9,7 @@ from agorascope.operators.edges import directed
 from agorascope.operators.graph import vertices, weighted_degrees
 from agorascope.operators.lineage import Scratch, cut
 from agorascope.operators.rows import seeded_key, top_k, with_row_index
-from agorascope.operators.skew import fits_broadcast, hot_keys, spread_join
+from agorascope.operators.skew import fits_broadcast, hot_keys, join_ends, spread_join
 
 EXACT_NODES = 500
 STATE_ROWS = 500_000_000
@@ -17,12 +17,10 @@ STATE_ROWS = 500_000_000
 
 def number_nodes(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, numbered edges): names replaced by 0..n-1 in name order, so ties do not depend on partitions."""
+    edges = cut(edges, "pairs")
     nodes = cut(with_row_index(vertices(edges), [F.asc("node")], "id"), "nodes")
-    small = fits_broadcast(nodes)
-    for end in ("src", "dst"):
-        side = nodes.select(F.col("node").alias(end), F.col("id").alias(f"{end}_id"))
-        edges = edges.join(F.broadcast(side), end) if small else spread_join(edges, side, [end])
-    numbered = edges.select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), "weight")
+    joined = join_ends(edges, nodes, "id", "id")
+    numbered = joined.select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), "weight")
     return nodes, cut(numbered, "edges")
 
 
@@ -115,7 +113,7 @@ def betweenness(
     """(node, betweenness), directed, weights as distances, normalised.
 
     By default exact up to 500 nodes and from 500 seeded pivots beyond. Pivots are handled `batch`
-    at a time, by default so many that a batch holds at most STATE_ROWS distances.
+    at a time, by default so many that a batch holds at most STATE_ROWS distances and links.
     """
     nodes, numbered = number_nodes(directed(edges))
     n = nodes.count()
@@ -125,7 +123,7 @@ def betweenness(
     links = numbered.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
     small = fits_broadcast(links)
     hot = None if small else cut(hot_keys(links, ["node"]), "hot")
-    batch = batch or max(1, STATE_ROWS // n)
+    batch = batch or max(1, STATE_ROWS // max(n, links.count()))
     chosen = nodes.orderBy(seeded_key("node", seed), "node").limit(k).select(F.col("id").alias("pivot"))
     chosen = cut(with_row_index(chosen, [F.asc("pivot")], "turn"), "pivots")
     scratch = Scratch(edges.sparkSession, "betweenness")

@@ -74,7 +74,8 @@ def reply_edges(
     summed = accumulate(_start(source.select("parent_id", "src", "seen")), "parent_id", "src")
     parents = messages if parents is None else parents
     joined = lookup_join(
-        summed, parent_authors(parents), ["parent_id"], bound=parents, keys_from=source.select("parent_id")
+        summed, parent_authors(parents), ["parent_id"],
+        bound=parents.select("fullname", "author"), keys_from=source.select("parent_id"),
     )
     linked = joined.filter(F.col("src") != F.col("dst"))
     return accumulate(linked.withColumn("edge_type", F.lit("reply")), *EDGE_KEY)

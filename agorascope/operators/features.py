@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from agorascope.functions import text
 from agorascope.operators.lineage import cut
+from agorascope.operators.skew import lookup_join
 
 
 def with_terms(
@@ -78,11 +79,11 @@ def vocabulary(counts: DataFrame, docs: int, max_features: int, min_df: int = 1)
 def vectors(counts: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     """(id, features): per document an array of (term_id, term, weight) with unit L2 norm.
 
-    `vocab` has at most max_features rows, so it is broadcast; the one shuffle brings a document's
-    own terms together.
+    `vocab` has at most max_features rows and is broadcast if its terms are short enough; the one
+    shuffle then brings a document's own terms together.
     """
-    known = F.broadcast(vocab.select("term_id", "term", "idf"))
-    weighted = counts.join(known, "term").withColumn("weight", F.col("n") * F.col("idf"))
+    known = lookup_join(counts, vocab.select("term_id", "term", "idf"), ["term"])
+    weighted = known.withColumn("weight", F.col("n") * F.col("idf"))
     grouped = weighted.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("term_id", "term", "weight"))).alias("_f")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agorascope.functions.scores import marker_size
 from agorascope.operators.edges import directed, undirected
 from agorascope.operators.rows import top_k
-from agorascope.operators.skew import fits_broadcast, spread_join
+from agorascope.operators.skew import join_ends
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -45,14 +45,7 @@ def undirected_degrees(pairs: DataFrame) -> DataFrame:
 
 def label_ends(pairs: DataFrame, labels: DataFrame, how: str = "left") -> DataFrame:
     """Adds `src_comm` and `dst_comm` from (node, community)."""
-    small = fits_broadcast(labels)
-    for end in ("src", "dst"):
-        side = labels.select(F.col("node").alias(end), F.col("community").alias(f"{end}_comm"))
-        if small:
-            pairs = pairs.join(F.broadcast(side), end, how)
-        else:
-            pairs = spread_join(pairs, side, [end], how)
-    return pairs
+    return join_ends(pairs, labels, "community", "comm", how)
 
 
 def modularity(pairs: DataFrame, labels: DataFrame) -> DataFrame:

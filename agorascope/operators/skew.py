@@ -7,15 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000  # narrow rows only: a few tens of megabytes at most
+from agorascope.operators.lineage import cut
+
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1024
 HOT_ROWS = 1_000_000
 SALTS = 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` was counted and found small enough to broadcast."""
-    return df.count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether `df` was measured and found small enough to broadcast, by rows and by bytes."""
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        if field.dataType.typeName() == "string":
+            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+    rows, size = df.agg(F.count("*"), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def hot_keys(
@@ -79,10 +87,25 @@ def lookup_join(
 ) -> DataFrame:
     """Join `big` to a lookup table: broadcast when the table is counted small, else spread hot keys.
 
-    `bound` is a table with at least as many rows that is cheaper to count, `keys_from` one with the
-    key columns of `big` that is cheaper to read.
+    `bound` is a table at least as large that is cheaper to measure, `keys_from` one with the key
+    columns of `big` that is cheaper to read.
     """
     if fits_broadcast(small if bound is None else bound, max_rows):
         return big.join(F.broadcast(small), list(on), how)
     hot = None if keys_from is None else hot_keys(keys_from, on)
     return spread_join(big, small, on, how, hot)
+
+
+def join_ends(
+    pairs: DataFrame, labels: DataFrame, value: str, suffix: str, how: str = "inner"
+) -> DataFrame:
+    """Adds `src_<suffix>` and `dst_<suffix>` to edges, from a table (node, value) with one row per node."""
+    small = fits_broadcast(labels.select("node", value))
+    pairs = stored = pairs if small else cut(pairs, "pairs")
+    for end in ("src", "dst"):
+        side = labels.select(F.col("node").alias(end), F.col(value).alias(f"{end}_{suffix}"))
+        if small:
+            pairs = pairs.join(F.broadcast(side), end, how)
+        else:
+            pairs = spread_join(pairs, side, [end], how, hot=hot_keys(stored, [end]))
+    return pairs

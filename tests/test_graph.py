@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from agorascope.operators import centrality, communities, edges, graph
+from agorascope.operators import centrality, communities, edges, graph, skew
 
 
 def table(spark, rows):
@@ -71,6 +71,7 @@ def test_betweenness_random_graph_in_batches_and_without_broadcast(spark, monkey
     want = brandes(rows)
     assert found(centrality.betweenness(table(spark, rows), batch=20)) == pytest.approx(want, abs=1e-12)
     monkeypatch.setattr(centrality, "fits_broadcast", lambda df, *a: False)
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df, *a: False)
     assert found(centrality.betweenness(table(spark, rows))) == pytest.approx(want, abs=1e-12)
 
 
@@ -118,6 +119,7 @@ def test_louvain_planted_blocks_without_broadcast(spark, monkeypatch):
             if dice.random() < (0.8 if i // 10 == j // 10 else 0.03):
                 rows.append((f"n{i:02}", f"n{j:02}", 1))
     monkeypatch.setattr(communities, "fits_broadcast", lambda df, *a: False)
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df, *a: False)
     links = table(spark, rows)
     labels = communities.louvain(links)
     blocks = defaultdict(set)
@@ -163,8 +165,6 @@ def test_interaction_edges(spark):
 
 
 def test_hot_parent_without_broadcast(spark, monkeypatch):
-    from agorascope.operators import skew
-
     posts = spark.range(2000).select(
         F.when(F.col("id") == 0, "posts").otherwise("comments").alias("topic"),
         F.concat(F.lit("t"), "id").alias("fullname"),
