@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import substrings
+from agorascope.llm import decontaminate, substrings
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,51 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_words(docs).select(
         "doc_id", "n_words", "n_removed", _sha256(F.col("kept_text")).alias("kept_sha256")
     )
+
+
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.benchmark_hits(docs, _table(spark, sf_dir, "benchmark"))
+    names = F.transform("items", lambda x: x.cast("string"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        _sha256(F.concat_ws(",", F.array_sort(names))).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"[^\x20\x09-\x0D]+"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLES["op1_substring_dedup"] = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+win AS (SELECT doc_id, i, list_slice(w, i, i + 19) AS p FROM w, unnest(range(1, len(w) - 18)) AS t(i)),
+firsts AS (SELECT p, min((doc_id, i)) AS f FROM win GROUP BY p HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM win JOIN firsts USING (p), unnest(range(0, 20)) AS t(k) WHERE (doc_id, i) > f),
+every AS (SELECT doc_id, i, w[i] AS word FROM w, unnest(range(1, len(w) + 1)) AS t(i)),
+kept AS (
+  SELECT e.doc_id, count(g.i) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY e.i) FILTER (WHERE g.i IS NULL), '') AS s
+  FROM every e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op2_benchmark_decontamination"] = f"""
+WITH dw AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+pat AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS m, list_slice(w, i, i + least(10, len(w)) - 1) AS p
+  FROM iw, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+win AS (
+  SELECT doc_id, i, m, list_slice(w, i, i + m - 1) AS p
+  FROM dw, (SELECT DISTINCT m FROM pat), unnest(range(1, len(w) - m + 2)) AS t(i)),
+hit AS (SELECT doc_id, i, m, item_id FROM win JOIN pat USING (m, p)),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, m)) AS t(k) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
