@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, substrings
+from agorascope.llm import decontaminate, jaccard, substrings
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -80,3 +85,16 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op7_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + least(5, len(w)) - 1) AS p
+  FROM w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.p = b.p AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach(node, other) AS (SELECT a, b FROM links UNION SELECT node, b FROM reach JOIN links ON other = a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(r.other, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(other) AS other FROM reach GROUP BY node) r ON r.node = w.doc_id
+"""
