@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, jaccard, substrings
+from agorascope.llm import decontaminate, jaccard, mixing, substrings, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,20 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@query
+def op3_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(rows, F.col("vec_id") % 100 == 0).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mix.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate"
+    )
+
+
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -98,3 +112,15 @@ reach(node, other) AS (SELECT a, b FROM links UNION SELECT node, b FROM reach JO
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(r.other, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(other) AS other FROM reach GROUP BY node) r ON r.node = w.doc_id
 """
+
+ORACLES["op3_exact_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10
+"""
