@@ -9,10 +9,11 @@ relative entropy are r_i = min(MOST, exp(a * size_i)): the dual is convex in the
 steps solve it for all sources at once, each step one aggregation over the counts by (source, size); a step that leaves
 the bracket of a is replaced by its middle. A source whose target is MOST times its size takes every document so often.
 
-Copies: rates are carried through each source in order of size, and a document gets the whole numbers that its stretch
-of the running total passes; so the words taken differ from the target by less than two of the source's largest documents
-do. Documents of one size are ordered by a hash of their id, in as many parts as the square root of their number, so no
-window sorts a whole source or one hot size. Reruns agree: nothing depends on partitions or on time.
+Copies: rates are carried through each source in order of size, and the documents of one size get together the whole
+numbers that their stretch of the running total passes. What is then missing from the target, or too much, is made up by
+single copies from the largest size down, to about half the smallest size. This goes over the distinct sizes of a source,
+whose number is bounded by its longest text. The copies of a size are spread evenly over its documents, ordered by a hash
+of their id, in as many parts as the square root of their number, so no window sorts a whole source or one hot size. Reruns agree: nothing depends on partitions or on time.
 
 Null texts and texts without words have size 0, rate 1 and take 0 words. A null source is a source, ordered last.
 Repeated rows are taken each (rows alike in id, source and size are ordered arbitrarily and equal). Empty tables give no
@@ -50,7 +51,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float =
     w = w.withColumn("open", F.sum("weight").over(everything) - F.sum("weight").over(so_far) + F.col("weight"))
     w = w.withColumn("all", F.sum("source_size").over(everything).cast("double"))
     level = (F.col("all") - F.col("stopped")) / F.col("open")
-    w = w.withColumn("level", F.min(F.when(level <= F.col("stop"), level)).over(everything))
+    w = w.withColumn("place", F.row_number().over(so_far))
+    first_open = F.min(F.when(level <= F.col("stop"), F.struct("place", level.alias("level")))).over(everything)
+    w = w.withColumn("level", first_open.getField("level"))
     target = F.least(most * F.col("source_size"), F.coalesce(F.col("level"), F.lit(0.0)) * F.col("weight"))
     return w.select("source", "source_size", target.alias("target"))
 
@@ -122,9 +125,16 @@ def mixed(
     # The running total of rates before each size; sizes of one source, not documents, are sorted here.
     before = Window.partitionBy("source").orderBy("size")
     mass = F.when(F.col("size") == 0, 0.0).otherwise(F.col("n") * F.col("rate"))
-    rated = scratch.cut(rated.withColumn("begin", F.sum(mass).over(before) - mass))
+    begin = F.sum(mass).over(before) - mass
+    copies = F.floor(begin + mass + 0.5) - F.floor(begin + 0.5)
+    copies = F.when(F.col("rate") >= most, F.col("n") * int(most)).when(F.col("size") == 0, F.col("n")).otherwise(copies)
+    rated = scratch.cut(rated.withColumn("copies", F.least(copies, F.col("n") * int(most)).cast("long")))
+    fixes = _fixes(rated, most)
+    rated = rated.alias("g").join(fixes.alias("f"), same("g", "f") & (F.col("g.size") == F.col("f.size")), "left").select(
+        "g.*", (F.col("g.copies") + F.coalesce("f.more", F.lit(0))).alias("total")
+    )
     with_rate = rows.alias("r").join(rated.alias("g"), same("r", "g") & (F.col("r.size") == F.col("g.size"))).select(
-        "r.id", "r.source", "r.size", "g.source_size", "g.target", "g.rate", "g.begin",
+        "r.id", "r.source", "r.size", "g.source_size", "g.target", "g.rate", "g.n", "g.total",
         F.pmod(F.xxhash64(F.col("r.id"), F.lit(1)), F.col("g.parts")).alias("part"),
     )
     with_rate = scratch.cut(with_rate)
@@ -135,7 +145,27 @@ def mixed(
     ranked = with_rate.withColumn("place", F.row_number().over(inside))
     on = same("x", "p") & (F.col("x.size") == F.col("p.size")) & (F.col("x.part") == F.col("p.part"))
     placed = ranked.alias("x").join(parts.alias("p"), on).select("x.*", (F.col("p.skip") + F.col("x.place")).alias("nth"))
-    end = F.col("begin") + F.col("nth") * F.col("rate") + 0.5
-    copies = F.when(F.col("rate") >= most, F.lit(int(most))).otherwise(F.floor(end) - F.floor(end - F.col("rate")))
-    copies = F.least(F.greatest(copies, F.lit(0)), F.lit(int(most))).cast("long")
+    share = lambda k: F.call_function("div", F.col("total") * k, F.col("n"))
+    copies = (share(F.col("nth")) - share(F.col("nth") - 1)).cast("long")
     return placed.select("id", "source", "size", "source_size", "target", "rate", copies.alias("copies"))
+
+
+def _fixes(rated: DataFrame, most: float) -> DataFrame:
+    """(source, size, more): the copies to add or leave out so that each source's words come near its target."""
+    size = F.struct("size", "n", "copies")
+    groups = rated.filter("size > 0").groupBy("source").agg(
+        (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("missing"), F.sort_array(F.collect_list(size), False).alias("sizes")
+    )
+    none = F.array().cast("array<struct<size:bigint,more:bigint>>")
+
+    def step(state: Column, x: Column) -> Column:
+        wish = F.round(state["missing"] / x["size"]).cast("long")
+        more = F.least(F.greatest(wish, -x["copies"]), x["n"] * int(most) - x["copies"])
+        fixes = F.when(more == 0, state["fixes"]).otherwise(
+            F.concat(state["fixes"], F.array(F.struct(x["size"].alias("size"), more.alias("more"))))
+        )
+        return F.struct((state["missing"] - more * x["size"]).alias("missing"), fixes.alias("fixes"))
+
+    start = F.struct(F.col("missing").alias("missing"), none.alias("fixes"))
+    fixed = F.aggregate("sizes", start, step, lambda state: state["fixes"])
+    return groups.select("source", F.inline(fixed))
