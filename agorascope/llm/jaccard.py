@@ -7,8 +7,9 @@ differ in how they scramble the others.
 
 1. Common tokens: a token that a share of `COMMON` of all documents holds is held by half that share in some batch of
    documents, so batches report only these; at most 2 / COMMON times the mean set size come through (broadcast).
-2. First order: each chunk of documents asks, by `exchange`, which of its prefix tokens another set has in its prefix.
-   Documents without any are linked with nothing. The tokens of the others are what pairs are made from.
+2. First order: each chunk of documents asks, by `exchange`, which of its prefix tokens another set has in its prefix,
+   at a place and with a size under which it can be the first that similar sets share. Documents without any are linked
+   with nothing but copies. The tokens of the others are what pairs are made from.
 3. Pairs are made losslessly for *components*, not for every link: in the block of a token each set meets one leader;
    sets found linked become one class; a block whose sets are all of one class is done. This repeats, with other
    leaders, until the pairs between different classes that are left in blocks are few against the sets, or a round
@@ -43,8 +44,10 @@ COMMON = 1 / 200
 ORDERS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: Rounds of leaders go on while the pairs left between classes exceed this many for each set.
 PAIRS_PER_SET = 4
+#: The ids of the sets to be compared in a round are broadcast up to this many (8 bytes each).
+BROADCAST_NODES = 500_000
 _SHORT = np.uint64(0x5851F42D4C957F2D)
-_MANY = np.uint32(0xFFFFFFFF)
+_LARGE = 65535
 
 
 def shingle_sets(piece: pa.RecordBatch, column: str, size: int = SIZE) -> list[np.ndarray]:
@@ -109,6 +112,32 @@ def _common_tokens(docs: DataFrame, column: str, size: int, share: float) -> np.
     return np.sort(rows["token"].to_numpy().astype(np.int64).view(np.uint64))
 
 
+def _may_meet(keys: np.ndarray, sizes: np.ndarray, rests: np.ndarray, percent: int) -> np.ndarray:
+    """Whether an entry's token can be the first that its set shares with a similar one; entries are sorted by key, size.
+
+    If it is, no more than the lesser `rest` of the two (the tokens from this one on) are shared, and similar sets share
+    percent / (100 + percent) of both sizes: (100 + percent) * rest >= percent * (own size + other size) for both. So some
+    other entry must have a size up to a limit and (100 + percent) * rest - percent * size of at least percent * own size;
+    the greatest and second greatest of these up to each entry tell. Keys with a size at the limit of 16 bits pass.
+    """
+    n = len(keys)
+    if n == 0:
+        return np.zeros(0, bool)
+    starts = X.starts_of(keys)
+    part = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+    step = np.int64(1) << 26  # beyond all values, so that a running maximum starts anew with each key
+    worth = (100 + percent) * rests - percent * sizes + part * step
+    most = np.maximum.accumulate(worth)
+    before = np.append(-step, most[:-1])
+    second = np.maximum.accumulate(np.minimum(worth, before))
+    limit = np.minimum((100 + percent) * rests // percent - sizes, step - 1)
+    last = np.searchsorted(part * step + sizes, part * step + limit, "right") - 1
+    best = most[last]
+    best = np.where((best == worth) & (last >= np.arange(n)), second[last], best)
+    may = (last >= starts[part]) & (limit >= 0) & (best - part * step >= percent * sizes)
+    return may | (np.maximum.reduceat(sizes, starts)[part] >= _LARGE)
+
+
 def _short_keys(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """48 bits of tokens for filtering: two tokens taken for one only make a document a candidate."""
     return tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(np.uint16)
@@ -130,7 +159,7 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, chunks, tags = [], [], []
+            tokens, chunks, sizes, rests = [], [], [], []
             for piece in W.pieces(batch, "text"):
                 of = np.asarray(piece.column(0))
                 for d, s in enumerate(shingle_sets(piece, "text", size)):
@@ -138,35 +167,40 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                         own = prefix(s, shared.value, percent)
                         tokens.append(own)
                         chunks.append(np.full(len(own), of[d]))
-                        tags.append(np.full(len(own), np.frombuffer(_set_id(s), np.uint32)[0] >> 1))
+                        sizes.append(np.full(len(own), min(len(s), _LARGE), np.uint16))
+                        rests.append(np.minimum(len(s) - np.arange(len(own)), _LARGE).astype(np.uint16))
             if not tokens:
                 continue
-            tokens, chunks, tags = np.concatenate(tokens), np.concatenate(chunks), np.concatenate(tags)
+            tokens, chunks, sizes, rests = (np.concatenate(x) for x in (tokens, chunks, sizes, rests))
             bucket = X.bucket_of(W.mix(tokens), buckets)
-            order = np.lexsort((tokens, bucket, chunks))
-            tokens, chunks, tags, bucket = tokens[order], chunks[order], tags[order], bucket[order]
-            starts = X.starts_of(chunks, bucket, tokens)
-            several = np.maximum.reduceat(tags, starts) != np.minimum.reduceat(tags, starts)
-            tag = np.where(several, _MANY, tags[starts]).astype(np.uint32)
+            order = np.lexsort((rests, sizes, tokens, bucket, chunks))
+            tokens, chunks, sizes, rests, bucket = (x[order] for x in (tokens, chunks, sizes, rests, bucket))
+            starts = X.starts_of(chunks, bucket, tokens, sizes, rests)
+            several = (np.diff(np.append(starts, len(tokens))) > 1).astype(np.uint8)
             chunks, bucket = chunks[starts], bucket[starts]
             low, high = _short_keys(tokens[starts])
             yield from X.packed(
-                (bucket, chunks), (low, high, tag), X.starts_of(chunks, bucket), ("bucket", "chunk", "low", "high", "tags")
+                (bucket, chunks), (low, high, sizes[starts], rests[starts], several), X.starts_of(chunks, bucket),
+                ("bucket", "chunk", "low", "high", "sizes", "rests", "several"),
             ).to_batches()
 
     def answer(table: pa.Table) -> pa.Table:
         low, row = X.unpacked(table["low"], np.uint32)
         high, _ = X.unpacked(table["high"], np.uint16)
-        tags, _ = X.unpacked(table["tags"], np.uint32)
+        sizes, _ = X.unpacked(table["sizes"], np.uint16)
+        rests, _ = X.unpacked(table["rests"], np.uint16)
+        several, _ = X.unpacked(table["several"], np.uint8)
         keys = high.astype(np.uint64) << np.uint64(32) | low
-        order = np.argsort(keys, kind="stable")
-        starts = X.starts_of(keys[order])
-        least, most = np.minimum.reduceat(tags[order], starts), np.maximum.reduceat(tags[order], starts)
-        several = np.zeros(len(keys), bool)
-        several[order] = np.repeat((least != most) | (most == _MANY), np.diff(np.append(starts, len(order))))
-        keys, of = keys[several], table["chunk"].to_numpy()[row[several]]
-        order = np.argsort(of, kind="stable")
-        return X.packed((of[order],), (keys[order],), X.starts_of(of[order]), ("chunk", "keys"))
+        order = np.lexsort((sizes, keys))
+        may = np.zeros(len(keys), bool)
+        may[order] = _may_meet(keys[order], sizes[order].astype(np.int64), rests[order].astype(np.int64), percent)
+        may |= several > 0
+        keys, of = keys[may], table["chunk"].to_numpy()[row[may]]
+        order = np.lexsort((keys, of))
+        keys, of = keys[order], of[order]
+        once = X.starts_of(of, keys)
+        keys, of = keys[once], of[once]
+        return X.packed((of,), (keys,), X.starts_of(of), ("chunk", "keys"))
 
     def sets_of(table: pa.Table, replies: pa.Table) -> pa.Table:
         known = np.unique(X.unpacked(replies["keys"], np.uint64)[0])
@@ -191,7 +225,9 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             names=list(out),
         )
 
-    asked = narrow.select("chunk", "text").mapInArrow(ask, "bucket int, chunk long, low binary, high binary, tags binary")
+    asked = narrow.select("chunk", "text").mapInArrow(
+        ask, "bucket int, chunk long, low binary, high binary, sizes binary, rests binary, several binary"
+    )
     known = cut(asked.groupBy("bucket").applyInArrow(answer, "chunk long, keys binary"), "prefixes")
     sets = narrow.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         sets_of, "id long, set_id binary, n long, tokens array<bigint>, members binary"
@@ -199,8 +235,17 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return cut(sets, "sets"), shared
 
 
-def _verified(pairs: DataFrame, members: DataFrame, shared, percent: int) -> DataFrame:
+def _members(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, members) of these nodes (distinct); the sets stay where they lie if there are few nodes."""
+    few = nodes.count() <= BROADCAST_NODES
+    ids = (F.broadcast(nodes) if few else nodes).withColumnRenamed("node", "id")
+    found = sets.filter("members IS NOT NULL").select("id", "members").join(ids, "id")
+    return found.groupBy(F.col("id").alias("node")).agg(F.first("members").alias("members"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, shared, percent: int) -> DataFrame:
     """The pairs (a, b) that share prefix tokens in all orders and are similar enough."""
+    members = _members(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), sets)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,11 +281,13 @@ def linked_classes(sets: DataFrame, shared, percent: int = PERCENT) -> DataFrame
     """(node, component) of the sets that are linked with others; a set's node is the least id of its documents."""
     scratch = Scratch(sets.sparkSession, "classes")
     with_tokens = sets.filter("members IS NOT NULL")
-    nodes = with_tokens.groupBy("set_id").agg(F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("node"))
-    chosen = with_tokens.join(nodes, "set_id").filter(F.coalesce("id", F.lit(X.NO_ID)) == F.col("node"))
-    chosen = chosen.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("members").alias("members"))
+    chosen = with_tokens.groupBy("set_id").agg(
+        F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("node"), F.first("n").alias("n"),
+        F.first("tokens").alias("tokens"),
+    )
+    chosen = chosen.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     chosen = scratch.cut(chosen)
-    members, count = chosen.select("node", "members"), chosen.count()
+    count = chosen.count()
     rows = chosen.select("node", "n", F.explode("tokens").alias("token"))
     labels = links = tested = before = None
     turn = 0
@@ -270,7 +317,7 @@ def linked_classes(sets: DataFrame, shared, percent: int = PERCENT) -> DataFrame
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.cut(pairs)
-        found = scratch.cut(_verified(pairs, members, shared, percent))
+        found = scratch.cut(_verified(pairs, sets, shared, percent))
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         scratch.release(now, open_blocks)
