@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, jaccard, labelled, mixing, substrings, topk, toxicity
+from agorascope.llm import decontaminate, jaccard, labelled, mixing, quality, substrings, topk, toxicity
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,6 +71,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", labelled.held_out("doc_id").alias("held_out"), "score", "predicted", "neighbours")
 
 
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    found = quality.scored(docs, quality.fit(docs, labels))
+    return found.select("doc_id", labelled.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
