@@ -32,6 +32,8 @@ MOST = 3.0
 #: Newton ends when every source's words are this near their target, as a part of it.
 TOLERANCE = 1e-6
 STEPS = 200
+#: Files of the tables that every step reads: one row a source, and one row a source and size.
+STATE_FILES, COUNT_FILES = 4, 32
 
 
 def word_count(text: Column) -> Column:
@@ -76,7 +78,7 @@ def balanced_rates(counts: DataFrame, wanted: DataFrame, scratch: Scratch, most:
         (F.col("target") >= most * F.col("source_size") * (1 - 1e-12)).alias("full"),
         F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"),
     )
-    state = scratch.cut(start)
+    state = scratch.cut(start.coalesce(STATE_FILES))
     for _ in range(STEPS):
         size = F.col("c.size") / F.col("s.mean")
         rate = _rate(size, F.col("s.a"), F.col("s.full"), most)
@@ -95,7 +97,7 @@ def balanced_rates(counts: DataFrame, wanted: DataFrame, scratch: Scratch, most:
         inside = (newton > F.col("low")) & (newton < F.col("high"))
         finite = (F.col("low") > float("-inf")) & (F.col("high") < float("inf"))
         step = F.when(F.col("done"), F.col("a")).when(inside, newton).when(finite, (F.col("low") + F.col("high")) / 2).otherwise(newton)
-        after = scratch.cut(bounded.select("source", "target", "mean", step.alias("a"), "full", "low", "high", "done"))
+        after = scratch.cut(bounded.select("source", "target", "mean", step.alias("a"), "full", "low", "high", "done").coalesce(STATE_FILES))
         scratch.release(state)
         state = after
         if state.filter(~F.col("done")).isEmpty():
@@ -112,9 +114,9 @@ def mixed(
     rows = scratch.cut(
         docs.select(F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"), word_count(F.col(text_column).cast("string")).alias("size"))
     )
-    counts = scratch.cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
+    counts = scratch.cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")).coalesce(COUNT_FILES))
     sizes = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    wanted = scratch.cut(targets(sizes, weights, most))
+    wanted = scratch.cut(targets(sizes, weights, most).coalesce(STATE_FILES))
     tilt = balanced_rates(counts, wanted, scratch, most)
     same = lambda x, y: F.col(f"{x}.source").eqNullSafe(F.col(f"{y}.source"))
     rated = counts.alias("c").join(wanted.alias("w"), same("c", "w")).join(tilt.alias("t"), same("c", "t")).select(
