@@ -2,24 +2,27 @@
 
 A document's set holds the distinct hashes (64 bits) of its 5-word shingles. Two sets x, y with
 |x & y| >= t * |x | y| share at least one of the first |x| - ceil(t * |x|) + 1 tokens of x and as many of y, whatever
-global order the tokens are put in. Every order used here puts tokens that very many documents hold last; the orders
-differ in how they scramble the others.
-
-1. Common tokens: a token that a share of `COMMON` of all documents holds is held by half that share in some batch of
-   documents, so batches report only these; at most 2 / COMMON times the mean set size come through (broadcast).
-2. First order: each chunk of documents asks, by `exchange`, which of its prefix tokens another set has in its prefix,
-   at a place and with a size under which it can be the first that similar sets share. Documents without any are linked
-   with nothing but copies. The tokens of the others are what pairs are made from.
+global order the tokens are put in. Every order used here puts tokens of fewer documents first (by the power of two of
+their number); the orders differ in how they scramble tokens of one power.
+
+1. Frequencies: every chunk of documents sends its distinct tokens (40 bits besides the bucket's number) by `exchange`
+   and is told those that more than one document holds, with their class of frequency. Two tokens taken for one only
+   raise a class, alike for all documents.
+2. First order: a document's prefix. Its tokens of a single document can be shared with none, so a document of which a
+   quarter is its own has no token left and is linked with nothing. The tokens of the others are what pairs are made from.
 3. Pairs are made losslessly for *components*, not for every link: in the block of a token each set meets one leader;
    sets found linked become one class; a block whose sets are all of one class is done. This repeats, with other
    leaders, until the pairs between different classes that are left in blocks are few against the sets, or a round
-   does not halve them; those that are left are all tested. So a group of n near copies costs about n tests, and no link between two classes is missed.
+   does not halve them; those that are left are all tested, where the token can be the first that the two share by its
+   place in both and by their sizes. So a group of n near copies costs about n tests, and no link between two classes
+   is missed.
 4. A pair must share prefix tokens in each of the other orders as well before its sets are compared in full.
 
 Links are exact. `component_id` is the least id that links reach.
 
 Documents without words (or null) have the empty set and are linked with nothing. Documents with the same set are one
-node. Rows without an id count as the last id, and their component is null if it has no other. Empty tables give no rows.
+node, and so are rows with the same id. Rows without an id count as the last id, and their component is null if it has
+no other. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +42,6 @@ from agorascope.operators.lineage import Scratch, cut
 
 SIZE = 5
 PERCENT = 75
-COMMON = 1 / 200
 #: What scrambles the tokens in the other global orders (fixed values).
 ORDERS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: Rounds of leaders go on while the pairs left between classes exceed this many for each set.
@@ -47,7 +49,6 @@ PAIRS_PER_SET = 4
 #: The ids of the sets to be compared in a round are broadcast up to this many (8 bytes each).
 BROADCAST_NODES = 500_000
 _SHORT = np.uint64(0x5851F42D4C957F2D)
-_LARGE = 65535
 
 
 def shingle_sets(piece: pa.RecordBatch, column: str, size: int = SIZE) -> list[np.ndarray]:
@@ -70,21 +71,10 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def prefix(tokens: np.ndarray, common: np.ndarray, percent: int, order: int = 0) -> np.ndarray:
-    """The first tokens of a sorted set in a global order: by scrambled value, common ones last."""
-    size = prefix_size(len(tokens), percent)
-    if len(common) and len(tokens):
-        late = common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens
-    else:
-        late = np.zeros(len(tokens), bool)
+def prefix(tokens: np.ndarray, classes: np.ndarray, percent: int, order: int = 0) -> np.ndarray:
+    """The places of a set's first tokens in a global order: by class of frequency, then by scrambled value."""
     rank = W.mix(tokens ^ np.uint64(order)) if order else tokens
-    early = tokens[~late]
-    if size <= len(early):
-        return early[np.argpartition(rank[~late], size - 1)[:size]] if order and size else early[:size]
-    rest = tokens[late]
-    if order:
-        rest = rest[np.argsort(rank[late], kind="stable")]
-    return np.concatenate([early, rest[: size - len(early)]])
+    return np.lexsort((rank, classes))[: prefix_size(len(tokens), percent)]
 
 
 def _set_id(tokens: np.ndarray) -> bytes:
@@ -94,176 +84,128 @@ def _set_id(tokens: np.ndarray) -> bytes:
     return np.array([*parts], np.uint64).tobytes()
 
 
-def _common_tokens(docs: DataFrame, column: str, size: int, share: float) -> np.ndarray:
-    """The sorted tokens that about a share of all documents, or more, hold."""
+def _short_keys(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each token, and 40 bits that tell it from others there."""
+    scrambled = W.mix(tokens)
+    return X.bucket_of(scrambled, buckets), scrambled & np.uint64(0xFFFFFFFF) | (tokens & np.uint64(0xFF)) << np.uint64(32)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [s for piece in W.pieces(batch, column) for s in shingle_sets(piece, column, size)]
-            if not sets:
-                continue
-            tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-            many = n >= max(2, share / 2 * len(sets))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(n[many])], names=["token", "n"])
-
-    least = max(2, docs.count() * share / 2)
-    found = docs.select(column).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = found.filter(F.col("n") >= least).select("token").toArrow()
-    return np.sort(rows["token"].to_numpy().astype(np.int64).view(np.uint64))
-
-
-def _may_meet(keys: np.ndarray, sizes: np.ndarray, rests: np.ndarray, percent: int) -> np.ndarray:
-    """Whether an entry's token can be the first that its set shares with a similar one; entries are sorted by key, size.
-
-    If it is, no more than the lesser `rest` of the two (the tokens from this one on) are shared, and similar sets share
-    percent / (100 + percent) of both sizes: (100 + percent) * rest >= percent * (own size + other size) for both. So some
-    other entry must have a size up to a limit and (100 + percent) * rest - percent * size of at least percent * own size;
-    the greatest and second greatest of these up to each entry tell. Keys with a size at the limit of 16 bits pass.
-    """
-    n = len(keys)
-    if n == 0:
-        return np.zeros(0, bool)
-    starts = X.starts_of(keys)
-    part = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
-    step = np.int64(1) << 26  # beyond all values, so that a running maximum starts anew with each key
-    worth = (100 + percent) * rests - percent * sizes + part * step
-    most = np.maximum.accumulate(worth)
-    before = np.append(-step, most[:-1])
-    second = np.maximum.accumulate(np.minimum(worth, before))
-    limit = np.minimum((100 + percent) * rests // percent - sizes, step - 1)
-    last = np.searchsorted(part * step + sizes, part * step + limit, "right") - 1
-    best = most[last]
-    best = np.where((best == worth) & (last >= np.arange(n)), second[last], best)
-    may = (last >= starts[part]) & (limit >= 0) & (best - part * step >= percent * sizes)
-    return may | (np.maximum.reduceat(sizes, starts)[part] >= _LARGE)
-
-
-def _short_keys(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """48 bits of tokens for filtering: two tokens taken for one only make a document a candidate."""
-    return tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(np.uint16)
-
-
-def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SIZE, percent: int = PERCENT):
-    """The written table (id, set_id, n, tokens, members) of all documents, and the common tokens.
-
-    `tokens` are the prefix tokens (first order) that another set may share, `members` the whole set of a document
-    that has any.
+
+def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The written table (id, set_id, n, tokens, rests, members, classes) of all documents.
+
+    `tokens` are the prefix tokens (first order) that another document holds and `rests` the numbers of tokens from each
+    one on; `members` and `classes` are the whole set of a document that has such tokens.
     """
     spark = ship(docs.sparkSession)
     narrow = docs.select(
         X.chunk_of(id_column).alias("chunk"), F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")
     )
     buckets = X.n_buckets(spark)
-    common_on_driver = _common_tokens(narrow, "text", size, COMMON)
-    shared = spark.sparkContext.broadcast(common_on_driver)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, chunks, sizes, rests = [], [], [], []
             for piece in W.pieces(batch, "text"):
-                of = np.asarray(piece.column(0))
-                for d, s in enumerate(shingle_sets(piece, "text", size)):
-                    if len(s):
-                        own = prefix(s, shared.value, percent)
-                        tokens.append(own)
-                        chunks.append(np.full(len(own), of[d]))
-                        sizes.append(np.full(len(own), min(len(s), _LARGE), np.uint16))
-                        rests.append(np.minimum(len(s) - np.arange(len(own)), _LARGE).astype(np.uint16))
-            if not tokens:
-                continue
-            tokens, chunks, sizes, rests = (np.concatenate(x) for x in (tokens, chunks, sizes, rests))
-            bucket = X.bucket_of(W.mix(tokens), buckets)
-            order = np.lexsort((rests, sizes, tokens, bucket, chunks))
-            tokens, chunks, sizes, rests, bucket = (x[order] for x in (tokens, chunks, sizes, rests, bucket))
-            starts = X.starts_of(chunks, bucket, tokens, sizes, rests)
-            several = (np.diff(np.append(starts, len(tokens))) > 1).astype(np.uint8)
-            chunks, bucket = chunks[starts], bucket[starts]
-            low, high = _short_keys(tokens[starts])
-            yield from X.packed(
-                (bucket, chunks), (low, high, sizes[starts], rests[starts], several), X.starts_of(chunks, bucket),
-                ("bucket", "chunk", "low", "high", "sizes", "rests", "several"),
-            ).to_batches()
+                sets = shingle_sets(piece, "text", size)
+                tokens = np.concatenate(sets)
+                if not len(tokens):
+                    continue
+                chunks = np.repeat(np.asarray(piece.column(0)), [len(s) for s in sets])
+                bucket, keys = _short_keys(tokens, buckets)
+                order = np.lexsort((bucket.astype(np.uint64) << np.uint64(40) | keys, chunks))
+                chunks, bucket, keys = chunks[order], bucket[order], keys[order]
+                starts = X.starts_of(chunks, bucket, keys)
+                count = np.minimum(np.diff(np.append(starts, len(keys))), 255).astype(np.uint8)
+                chunks, bucket, keys = chunks[starts], bucket[starts], keys[starts]
+                low, high = keys.astype(np.uint32), (keys >> np.uint64(32)).astype(np.uint8)
+                yield from X.packed(
+                    (bucket, chunks), (low, high, count), X.starts_of(chunks, bucket), ("bucket", "chunk", "low", "high", "counts")
+                ).to_batches()
 
     def answer(table: pa.Table) -> pa.Table:
         low, row = X.unpacked(table["low"], np.uint32)
-        high, _ = X.unpacked(table["high"], np.uint16)
-        sizes, _ = X.unpacked(table["sizes"], np.uint16)
-        rests, _ = X.unpacked(table["rests"], np.uint16)
-        several, _ = X.unpacked(table["several"], np.uint8)
+        high, _ = X.unpacked(table["high"], np.uint8)
+        counts, _ = X.unpacked(table["counts"], np.uint8)
         keys = high.astype(np.uint64) << np.uint64(32) | low
-        order = np.lexsort((sizes, keys))
-        may = np.zeros(len(keys), bool)
-        may[order] = _may_meet(keys[order], sizes[order].astype(np.int64), rests[order].astype(np.int64), percent)
-        may |= several > 0
-        keys, of = keys[may], table["chunk"].to_numpy()[row[may]]
-        order = np.lexsort((keys, of))
-        keys, of = keys[order], of[order]
-        once = X.starts_of(of, keys)
-        keys, of = keys[once], of[once]
-        return X.packed((of,), (keys,), X.starts_of(of), ("chunk", "keys"))
+        order = np.argsort(keys, kind="stable")
+        starts = X.starts_of(keys[order])
+        total = np.add.reduceat(counts[order].astype(np.int64), starts)
+        classes = np.empty(len(keys), np.uint8)
+        classes[order] = np.repeat(np.log2(total).astype(np.uint8) , np.diff(np.append(starts, len(order))))
+        many = np.zeros(len(keys), bool)
+        many[order] = np.repeat(total > 1, np.diff(np.append(starts, len(order))))
+        keys, classes, of = keys[many], classes[many], table["chunk"].to_numpy()[row[many]]
+        order = np.argsort(of, kind="stable")
+        keys, classes, of = keys[order], classes[order], of[order]
+        out = X.packed(
+            (of,), (keys.astype(np.uint32), (keys >> np.uint64(32)).astype(np.uint8), classes), X.starts_of(of), ("chunk", "low", "high", "classes")
+        )
+        return out.add_column(1, "bucket", pa.array([table["bucket"][0].as_py()] * out.num_rows, pa.int32()))
 
     def sets_of(table: pa.Table, replies: pa.Table) -> pa.Table:
-        known = np.unique(X.unpacked(replies["keys"], np.uint64)[0])
-        out: dict[str, list] = {"id": [], "set_id": [], "n": [], "tokens": [], "members": []}
+        low, row = X.unpacked(replies["low"], np.uint32)
+        high, _ = X.unpacked(replies["high"], np.uint8)
+        told, _ = X.unpacked(replies["classes"], np.uint8)
+        of = replies["bucket"].to_numpy().astype(np.uint64)[row]
+        known, at = np.unique(of << np.uint64(40) | high.astype(np.uint64) << np.uint64(32) | low, return_index=True)
+        told = told[at]
+        out: dict[str, list] = {k: [] for k in ("id", "set_id", "n", "tokens", "rests", "members", "classes")}
         for piece in W.pieces(table, "text"):
             out["id"].append(piece.column(1))
             for s in shingle_sets(piece, "text", size):
-                own = prefix(s, shared.value, percent)
-                if len(known) and len(own):
-                    low, high = _short_keys(own)
-                    keys = high.astype(np.uint64) << np.uint64(32) | low
-                    own = own[known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys]
-                else:
-                    own = own[:0]
+                bucket, keys = _short_keys(s, buckets)
+                keys = bucket.astype(np.uint64) << np.uint64(40) | keys
+                classes = np.zeros(len(s), np.uint8)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                    classes = np.where(known[at] == keys, told[at], classes)
+                first = prefix(s, classes, percent)
+                shared = np.flatnonzero(classes[first] > 0)
                 out["set_id"].append(_set_id(s))
                 out["n"].append(len(s))
-                out["tokens"].append(own.view(np.int64))
-                out["members"].append(s.tobytes() if len(own) else None)
+                out["tokens"].append(s[first[shared]].view(np.int64))
+                out["rests"].append(len(s) - shared)
+                out["members"].append(s.tobytes() if len(shared) else None)
+                out["classes"].append(classes.tobytes() if len(shared) else None)
         ids = pa.concat_arrays(out["id"]) if out["id"] else pa.array([], pa.int64())
-        return pa.table(
-            [ids, pa.array(out["set_id"], pa.binary()), pa.array(out["n"], pa.int64()), pa.array(out["tokens"], pa.list_(pa.int64())), pa.array(out["members"], pa.binary())],
-            names=list(out),
-        )
+        kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        return pa.table([ids, *(pa.array(out[k], kind) for k, kind in zip(list(out)[1:], kinds, strict=True))], names=list(out))
 
-    asked = narrow.select("chunk", "text").mapInArrow(
-        ask, "bucket int, chunk long, low binary, high binary, sizes binary, rests binary, several binary"
-    )
-    known = cut(asked.groupBy("bucket").applyInArrow(answer, "chunk long, keys binary"), "prefixes")
+    asked = narrow.select("chunk", "text").mapInArrow(ask, "bucket int, chunk long, low binary, high binary, counts binary")
+    known = cut(asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, low binary, high binary, classes binary"), "frequencies")
     sets = narrow.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        sets_of, "id long, set_id binary, n long, tokens array<bigint>, members binary"
+        sets_of, "id long, set_id binary, n long, tokens array<bigint>, rests array<bigint>, members binary, classes binary"
     )
-    return cut(sets, "sets"), shared
+    return cut(sets, "sets")
 
 
 def _members(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, members) of these nodes (distinct); the sets stay where they lie if there are few nodes."""
+    """(node, members, classes) of these nodes (distinct); the sets stay where they lie if there are few nodes."""
     few = nodes.count() <= BROADCAST_NODES
     ids = (F.broadcast(nodes) if few else nodes).withColumnRenamed("node", "id")
-    found = sets.filter("members IS NOT NULL").select("id", "members").join(ids, "id")
-    return found.groupBy(F.col("id").alias("node")).agg(F.first("members").alias("members"))
+    found = sets.filter("members IS NOT NULL").select(F.coalesce("id", F.lit(X.NO_ID)).alias("id"), "members", "classes").join(ids, "id")
+    return found.groupBy(F.col("id").alias("node")).agg(F.first(F.struct("members", "classes")).alias("set"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, shared, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that share prefix tokens in all orders and are similar enough."""
     members = _members(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), sets)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            for row in zip(*batch.columns[2:], strict=True):
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in row[:2])
+                p, q = (np.frombuffer(v.as_py(), np.uint8) for v in row[2:])
                 keep.append(
-                    all(
-                        len(np.intersect1d(prefix(x, shared.value, percent, o), prefix(y, shared.value, percent, o), True))
-                        for o in ORDERS
-                    )
+                    all(len(np.intersect1d(x[prefix(x, p, percent, o)], y[prefix(y, q, percent, o)], True)) for o in ORDERS)
                     and similar(x, y, percent)
                 )
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = members.select(F.col("node").alias("a"), F.col("members").alias("x"))
-    right = members.select(F.col("node").alias("b"), F.col("members").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    left = members.select(F.col("node").alias("a"), F.col("set").alias("x"))
+    right = members.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    both = pairs.join(left, "a").join(right, "b")
+    return both.select("a", "b", "x.members", "y.members", "x.classes", "y.classes").toDF("a", "b", "x", "y", "p", "q").mapInArrow(check, "a long, b long")
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -277,18 +219,18 @@ def _may_link(percent: int):
     return (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).alias("fits")
 
 
-def linked_classes(sets: DataFrame, shared, percent: int = PERCENT) -> DataFrame:
+def linked_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the sets that are linked with others; a set's node is the least id of its documents."""
     scratch = Scratch(sets.sparkSession, "classes")
     with_tokens = sets.filter("members IS NOT NULL")
     chosen = with_tokens.groupBy("set_id").agg(
         F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("node"), F.first("n").alias("n"),
-        F.first("tokens").alias("tokens"),
+        F.first(F.arrays_zip("tokens", "rests")).alias("tokens"),
     )
-    chosen = chosen.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    chosen = chosen.groupBy("node").agg(F.first(F.struct("n", "tokens")).alias("set")).select("node", "set.*")
     chosen = scratch.cut(chosen)
     count = chosen.count()
-    rows = chosen.select("node", "n", F.explode("tokens").alias("token"))
+    rows = chosen.select("node", "n", F.inline("tokens")).withColumnRenamed("tokens", "token").withColumnRenamed("rests", "rest")
     labels = links = tested = before = None
     turn = 0
     while True:
@@ -304,8 +246,9 @@ def linked_classes(sets: DataFrame, shared, percent: int = PERCENT) -> DataFrame
         last = left <= PAIRS_PER_SET * count or (before is not None and 2 * left > before)
         before = left
         if last:
-            other = inside.select("token", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("class").alias("class2"))
+            other = inside.select("token", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("class").alias("class2"), F.col("rest").alias("rest2"))
             met = inside.join(other, "token").filter("node < node2 AND class <> class2").filter(_may_link(percent))
+            met = met.filter((100 + percent) * F.least("rest", "rest2") >= percent * (F.col("n") + F.col("n2")))
             pairs = met.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
         else:
             key = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("class").alias("class2"))
@@ -317,7 +260,7 @@ def linked_classes(sets: DataFrame, shared, percent: int = PERCENT) -> DataFrame
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.cut(pairs)
-        found = scratch.cut(_verified(pairs, sets, shared, percent))
+        found = scratch.cut(_verified(pairs, sets, percent))
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         scratch.release(now, open_blocks)
@@ -331,8 +274,8 @@ def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SIZE, percent: int = PERCENT
 ) -> DataFrame:
     """(`id_column`, n_shingles, component_id) for each row of `docs`."""
-    sets, shared = jaccard_sets(docs, id_column, text_column, size, percent)
-    linked = linked_classes(sets, shared, percent)
+    sets = jaccard_sets(docs, id_column, text_column, size, percent)
+    linked = linked_classes(sets, percent)
     own = sets.filter("n > 0").groupBy("set_id").agg(F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("node"))
     classes = own.join(linked, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
     out = sets.select("id", "set_id", "n").join(classes, "set_id", "left")
