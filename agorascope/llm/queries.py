@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, extract, jaccard, labelled, mixing, quality, substrings, topk, toxicity
+from agorascope.llm import decontaminate, extract, jaccard, labelled, mixing, quality, substrings, topk, toxicity, urls
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,6 +84,12 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+@query
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judged(pages).select("page_id", "host", "path", "rule", "verdict", "block_odds")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
