@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, extract, jaccard, labelled, mixing, quality, substrings, topk, toxicity, urls
+from agorascope.llm import decontaminate, extract, jaccard, labelled, licenses, mixing, quality, substrings, topk, toxicity, urls
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +51,12 @@ def op3_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, F.col("vec_id") % 100 == 0).withColumnRenamed("id", "vec_id")
 
 
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_paragraphs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "place", "family", "probability", "similarity")
+
+
 @query
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
