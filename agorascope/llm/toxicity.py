@@ -4,8 +4,8 @@
 - Vocabulary: the `VOCABULARY` terms (words, and stems of long words) that tell the classes of the examples apart most
   surely (chi squared), of those in at least `MIN_EXAMPLES` of them. Their document frequencies come from all documents.
 - Index: for each term its postings (example, weight) in order of example, cut into blocks of `BLOCK` examples with the
-  greatest weight of each. A document visits blocks by falling upper bound (its weights times the block maxima) and stops
-  when the bound is below its k-th best cosine: the k nearest are exact.
+  greatest weight of each. A document visits the blocks of the greatest upper bounds (its weights times the block maxima),
+  then those whose bound is not below its k-th best cosine so far, and no others: the k nearest are exact.
 - Votes weigh by cosine. A logistic fit to leave-one-out votes of the examples calibrates them; it is set to the share
   of label 1 among all learnable labels. Documents near no example get the calibrated score of no votes.
 
@@ -32,6 +32,7 @@ EXAMPLES = 2000
 VOCABULARY = 2048
 MIN_EXAMPLES = 3
 BLOCK = 64
+FIRST_BLOCKS = 4
 NEAREST = 15
 
 
@@ -68,24 +69,31 @@ class Index:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest positive cosine and the cosines; `skip` is an example left out."""
-        found, scores = np.zeros(0, np.int64), np.zeros(0)
         if not len(terms):
-            return found, scores
+            return np.zeros(0, np.int64), np.zeros(0)
         bounds = weights @ self.maxima[terms]
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(scores) >= k and bounds[b] + 1e-12 < scores[k - 1]):
-                break
-            own = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                part = slice(self.term_starts[t, b], self.term_starts[t, b + 1])
-                own[self.examples[part] - b * BLOCK] += w * self.weights[part]
-            if 0 <= skip - b * BLOCK < BLOCK:
-                own[skip - b * BLOCK] = 0
-            some = np.flatnonzero(own > 0)
-            found, scores = np.append(found, some + b * BLOCK), np.append(scores, own[some])
-            best = np.lexsort((found, -scores))[:k]
-            found, scores = found[best], scores[best]
-        return found, scores
+        order = np.argsort(-bounds, kind="stable")
+        scores = self._cosines(terms, weights, order[:FIRST_BLOCKS], skip)
+        bar = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[(bounds[rest] > 0) & (bounds[rest] + 1e-12 >= bar)]
+        if len(rest):
+            scores = scores + self._cosines(terms, weights, rest, skip)
+        found = np.flatnonzero(scores > 0)
+        found = found[np.lexsort((found, -scores[found]))[:k]]
+        return found, scores[found]
+
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray, skip: int) -> np.ndarray:
+        """The cosines of the examples in these blocks, 0 elsewhere, from the postings of the terms in them."""
+        starts = self.term_starts[terms]
+        low, high = starts[:, blocks].ravel(), starts[:, blocks + 1].ravel()
+        count = high - low
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        parts = np.repeat(np.repeat(weights, len(blocks)), count) * self.weights[at]
+        scores = np.bincount(self.examples[at], parts, len(self.labels))
+        if skip >= 0:
+            scores[skip] = 0
+        return scores
 
     def votes(self, found: np.ndarray, scores: np.ndarray) -> tuple[float, float, float]:
         """Votes for and against, and the greatest cosine."""
