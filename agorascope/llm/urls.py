@@ -3,7 +3,7 @@
 - Hosts and paths are cut and rules are matched in DataFrame operations. The longest rule that fits decides.
 - Segmentation: a unigram model of words cuts each run of letters of a name into its likeliest words (Viterbi; a run of
   unknown letters costs more with each letter). Its dictionary holds `KNOWN` and the pieces between dots, hyphens and
-  digits that at least `MIN_HOSTS` different hosts contain, at most `DICTIONARY` of them, by number of hosts.
+  digits, other than those made up of `KNOWN` words, that at least `MIN_HOSTS` different hosts contain, at most `DICTIONARY` of them, by number of hosts.
 - Classes are learnt from weak labels, as there are no others: a host whose words include one of `BLOCK_WORDS` counts as
   block, other hosts as allow. Token counts of both classes cover all pages; the model keeps the `TOKENS` tokens that
   occur most often. Multinomial naive Bayes with add-one smoothing then scores the tokens of host and path of every page,
@@ -112,7 +112,10 @@ def dictionary(hosts: DataFrame) -> dict[str, int]:
     pieces = hosts.select("host").distinct().select(F.explode(F.array_distinct(F.split("host", r"[^\p{L}]+"))).alias("piece"))
     found = pieces.filter("piece <> ''").groupBy("piece").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_HOSTS)
     rows = found.orderBy(F.desc("n"), "piece").limit(DICTIONARY).collect()
-    return {w: MIN_HOSTS for w in KNOWN} | {r.piece: r.n for r in rows}
+    known = {w: MIN_HOSTS for w in KNOWN}
+    model = Segmenter(known)
+    # A name made up of known words is no word, however many hosts it has.
+    return known | {r.piece: r.n for r in rows if r.piece in known or not known.keys() >= set(model.cut(r.piece))}
 
 
 def learn(pages: DataFrame, counts: dict[str, int]) -> tuple[dict[str, float], float]:
