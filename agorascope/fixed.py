@@ -13,7 +13,7 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Patterns.
 URL_PATTERN = r"http\S+|www\S+"
 NOT_ALNUM_PATTERN = r"[^a-z0-9\s]"
-MENTION_PATTERN = r"(?i)(?:^|[\s(])(?:u/|/u/)([A-Za-z0-9_-]{3,20})"
+MENTION_PATTERN = r"(?i)(?:^|[(" + WHITESPACE + r"])(?:u/|/u/)([A-Za-z0-9_-]{3,20})"
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 MARKDOWN_LINK_PATTERN = r"\[([^\]]+)\]\([^)]+\)"
 
@@ -37,7 +37,7 @@ QUESTION_STEP = 0.18
 QUESTION_MAX = 0.96
 NORMALISER = 15.0
 
-# Degree words that strengthen the word after them.
+# Degree words that strengthen the word after them (common ones; callers can pass their own lists).
 STRENGTHENERS = [
     "absolutely", "amazingly", "awfully", "completely", "considerable", "considerably",
     "decidedly", "deeply", "enormous", "enormously", "entirely", "especially", "exceptional",

@@ -52,7 +52,7 @@ def probability_map(labels: Sequence[str], probabilities: Column) -> Column:
 
 def int_or(c: Column, default: int) -> Column:
     """integer value, or a default when missing or not a number."""
-    return F.coalesce(c.try_cast("int"), F.lit(default))
+    return F.coalesce(c.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def marker_size(degree: Column) -> Column:

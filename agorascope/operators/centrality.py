@@ -11,7 +11,6 @@ from agorascope.operators.lineage import Scratch, cut
 from agorascope.operators.rows import seeded_key, top_k, with_row_index
 from agorascope.operators.skew import fits_broadcast, hot_keys, join_ends, spread_join
 
-EXACT_NODES = 500
 STATE_ROWS = 500_000_000
 
 
@@ -112,12 +111,14 @@ def betweenness(
 ) -> DataFrame:
     """(node, betweenness), directed, weights as distances, normalised.
 
-    By default exact up to 500 nodes and from 500 seeded pivots beyond. Pivots are handled `batch`
-    at a time, by default so many that a batch holds at most STATE_ROWS distances and links.
+    Exact by default; an estimate from that many seeded nodes where `pivots` names a number. Weights
+    of 0 or below raise an error. Pivots are handled `batch` at a time, by default so many that a batch holds at most STATE_ROWS distances and links.
     """
     nodes, numbered = number_nodes(directed(edges))
     n = nodes.count()
-    k = n if pivots is None and n <= EXACT_NODES else min(pivots or EXACT_NODES, n)
+    k = n if pivots is None else min(pivots, n)
+    if not numbered.filter("weight <= 0").isEmpty():
+        raise ValueError("weights are distances here and must be above 0")
     if n < 3:
         return nodes.select("node", F.lit(0.0).alias("betweenness"))
     links = numbered.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
@@ -184,6 +185,8 @@ def eigenvector(edges: DataFrame, rounds: int = 100, tolerance: float = 1e-6) ->
             break
         vector = scratch.cut(vector)
         scratch.release(raw)
+    else:
+        raise ValueError(f"the vector still changes after {rounds} rounds")
     return nodes.join(vector.withColumnRenamed("node", "id"), "id").select(
         "node", F.col("x").alias("centrality")
     )

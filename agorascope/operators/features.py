@@ -107,7 +107,12 @@ def tfidf(
     """M4: (vectors, vocabulary)."""
     counts = term_counts(docs, id_col, text_col, stop_words, ngrams)
     vocab = vocabulary(counts, docs.count(), max_features, min_df)
-    return vectors(counts, vocab, id_col), vocab
+    known = vectors(counts, vocab, id_col)
+    # Documents without a term of the vocabulary have an empty vector.
+    ids = docs.select(id_col).distinct().alias("d")
+    every = ids.join(known.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col(f"k.{id_col}")), "left")
+    none = F.array().cast(known.schema["features"].dataType)
+    return every.select(f"d.{id_col}", F.coalesce("k.features", none).alias("features")), vocab
 
 
 def top_terms(features: DataFrame, id_col: str, k: int = 5) -> DataFrame:

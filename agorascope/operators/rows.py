@@ -26,6 +26,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return top_per_group(df, keys, order, 1).drop("rank")
 
 
+def first_per_identity(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """One row per identity, the first in `order`; every row without an identity stays."""
+    known = F.col(key).isNotNull()
+    return first_per_key(df.filter(known), [key], order).unionByName(df.filter(~known))
+
+
 def latest(df: DataFrame, ts: str, tie: str, n: int = 20) -> DataFrame:
     """K1, K2: the `n` latest rows."""
     return df.orderBy(F.desc(ts), F.asc(tie)).limit(n)
@@ -52,25 +58,28 @@ def stratified_split(
     """Adds `is_test`, true for the first ceil(share x n) rows of each label in seeded order.
 
     No label is sorted as a whole: counts per hash bucket show in which bucket the cut falls, and
-    only the rows of that bucket (one in 65,536) are ranked. `id_col` is unique.
+    only the rows of that bucket (one in 65,536) are ranked. `id_col` is unique. Rows without a label
+    are split among themselves.
     """
-    keyed = df.withColumn("_h", seeded_key(id_col, seed)).withColumn("_b", F.substring("_h", 1, 4))
-    counts = keyed.groupBy(label_col, "_b").agg(F.count("*").alias("_n"))
-    by_label = W.partitionBy(label_col)
+    text = F.col(label_col).cast("string")
+    stratum = F.when(text.isNull(), "").otherwise(F.concat(F.lit("="), text))
+    keyed = df.withColumns({"_h": seeded_key(id_col, seed), "_l": stratum}).withColumn("_b", F.substring("_h", 1, 4))
+    counts = keyed.groupBy("_l", "_b").agg(F.count("*").alias("_n"))
+    by_label = W.partitionBy("_l")
     upto = by_label.orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
     cuts = (
         counts.withColumn("_upto", F.sum("_n").over(upto))
         .withColumn("_take", F.ceil(F.lit(test_share) * F.sum("_n").over(by_label)))
         .filter((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
         .select(
-            label_col,
+            "_l",
             F.col("_b").alias("_cut"),
             (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_need"),
         )
     )
-    placed = lookup_join(keyed, cut(cuts, "cuts"), [label_col])
+    placed = lookup_join(keyed, cut(cuts, "cuts"), ["_l"])
     sure = placed.filter(F.col("_b") != F.col("_cut")).withColumn("is_test", F.col("_b") < F.col("_cut"))
-    edge_order = W.partitionBy(label_col).orderBy("_h", id_col)
+    edge_order = W.partitionBy("_l").orderBy("_h", id_col)
     edge = (
         placed.filter(F.col("_b") == F.col("_cut"))
         .withColumn("_rn", F.row_number().over(edge_order))

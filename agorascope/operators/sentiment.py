@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agorascope import fixed
 from agorascope.functions import text
 from agorascope.functions.scores import polarity_label
-from agorascope.operators.skew import fits_broadcast, spread_join
-
-# A token no text holds. Every document carries it once, so documents without a hit keep a row
-# through the inner join with the lexicon.
-NO_TOKEN = ""
+from agorascope.operators.skew import fits_broadcast
+from agorascope.session import ship
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Word classes of the compound score; the defaults are the published English ones."""
+    """Word classes of the compound score; the defaults are the common English ones of `fixed`."""
 
-    strengtheners: Sequence[str] = tuple(fixed.STRENGTHENERS)
-    weakeners: Sequence[str] = tuple(fixed.WEAKENERS)
-    negators: Sequence[str] = tuple(fixed.NEGATORS)
+    strengtheners: Collection[str] = tuple(fixed.STRENGTHENERS)
+    weakeners: Collection[str] = tuple(fixed.WEAKENERS)
+    negators: Collection[str] = tuple(fixed.NEGATORS)
     contrast: str = "but"
 
 
@@ -54,160 +52,112 @@ def _emphasis(c: Column) -> Column:
     )
 
 
-def _join_lexicon(rows: DataFrame, lexicon: DataFrame, on: str, how: str, small: bool) -> DataFrame:
-    if small:
-        return rows.join(F.broadcast(lexicon), on, how)
-    return spread_join(rows, lexicon, [on], how)
-
-
-def _word_rows(docs: DataFrame, id_col: str, text_col: str, rules: Rules) -> DataFrame:
-    """One row per word with its three predecessors and its successor, all taken inside the document's row."""
-    spaced = docs.select(id_col, F.col(text_col).alias("_text"), _words(F.col(text_col)).alias("_w"))
-    words = F.col("_w")
-
-    def around(w: Column, i: Column) -> Column:
-        return F.struct(
-            i.alias("i"),
-            w.alias("w"),
-            F.get(words, i - 1).alias("w1"),
-            F.get(words, i - 2).alias("w2"),
-            F.get(words, i - 3).alias("w3"),
-            F.lower(F.get(words, i + 1)).alias("after"),
-        )
-
-    missing = F.lit(None).cast("string")
-    carrier = F.struct(
-        F.lit(-1).alias("i"), F.lit(NO_TOKEN).alias("w"), missing.alias("w1"), missing.alias("w2"),
-        missing.alias("w3"), missing.alias("after"),
-    )
-    capitals = F.size(F.filter(words, _is_upper))
-    # Values of the document come before the rows of its words, or they would be computed per word.
-    per_document = spaced.select(
-        id_col,
-        ((capitals > 0) & (capitals < F.size(words))).alias("mixed"),
-        F.array_position(F.transform(words, F.lower), rules.contrast).alias("turn"),
-        _emphasis(F.col("_text")).alias("emphasis"),
-        (text.strip(F.col("_text")) == "").alias("blank"),
-        F.concat(F.transform(words, around), F.array(carrier)).alias("_rows"),
-    )
-    # Never empty. The outer form keeps Spark from adding a filter that would build the array twice.
-    return per_document.select(id_col, "mixed", "turn", "emphasis", "blank", F.inline_outer("_rows"))
-
-
-def _adjusted(rules: Rules) -> list[tuple[str, Column]]:
-    """The steps that turn a word's lexicon valence `v` into its contribution, in order."""
-    v, mixed = F.col("v"), F.col("mixed")
-    lower = {k: F.col(f"p{k}") for k in (1, 2, 3)}
-    degree_words = [*rules.strengtheners, *rules.weakeners]
-
-    def negates(p: Column) -> Column:
-        return F.coalesce(p.isin(list(rules.negators)) | p.contains("n't"), F.lit(False))
-
-    def one_of(p: Column, *names: str) -> Column:
-        return F.coalesce(p.isin(*names), F.lit(False))
-
-    no_before = (
-        one_of(lower[1], "no") | one_of(lower[2], "no")
-        | (one_of(lower[3], "no") & one_of(lower[1], "or", "nor"))
-    )
-    steps = [
-        (
-            "v",
-            F.when(no_before, v * fixed.NEGATION_FACTOR)
-            .when((F.col("word") == "no") & F.col("known_after"), 0.0)
-            .otherwise(v),
-        ),
-        (
-            "v",
-            F.when(mixed & _is_upper(F.col("w")), v + F.when(v > 0, fixed.CAPS_BOOST).otherwise(-fixed.CAPS_BOOST))
-            .otherwise(v),
-        ),
-    ]
-    emphatic = {
-        1: F.lit(False),
-        2: one_of(lower[2], "never") & one_of(lower[1], "so", "this"),
-        3: one_of(lower[3], "never") & (one_of(lower[2], "so", "this") | one_of(lower[1], "so", "this")),
-    }
-    certain = {
-        1: F.lit(False),
-        2: one_of(lower[2], "without") & one_of(lower[1], "doubt"),
-        3: one_of(lower[3], "without") & (one_of(lower[2], "doubt") | one_of(lower[1], "doubt")),
-    }
-    for k in (1, 2, 3):
-        p, plain = lower[k], F.col(f"p{k}").isNotNull() & ~F.col(f"known{k}")
-        step = F.when(p.isin(list(rules.strengtheners)), fixed.BOOST).otherwise(-fixed.BOOST)
-        step = F.when(v < 0, -step).otherwise(step)
-        loud = mixed & _is_upper(F.col(f"w{k}"))
-        step = step + F.when(loud, F.when(v > 0, fixed.CAPS_BOOST).otherwise(-fixed.CAPS_BOOST)).otherwise(0.0)
-        boosted = plain & p.isin(degree_words)
-        steps.append(("v", F.when(boosted, v + step * fixed.BOOST_DECAY[k - 1]).otherwise(v)))
-        turned = (
-            F.when(emphatic[k], v * fixed.NEVER_FACTOR)
-            .when(certain[k], v)
-            .when(negates(p), v * fixed.NEGATION_FACTOR)
-            .otherwise(v)
-        )
-        steps.append(("v", F.when(plain, turned).otherwise(v)))
-    least = one_of(lower[1], "least") & ~F.col("known1") & ~one_of(lower[2], "at", "very")
-    steps.append(("v", F.when(least, v * fixed.NEGATION_FACTOR).otherwise(v)))
-    silent = F.col("word").isin(degree_words) | (
-        (F.col("word") == "kind") & F.coalesce(F.col("after") == "of", F.lit(False))
-    )
-    position, turn = F.col("i") + 1, F.col("turn")
-    weight = (
-        F.when((turn > 0) & (position < turn), fixed.CONTRAST_BEFORE)
-        .when((turn > 0) & (position > turn), fixed.CONTRAST_AFTER)
-        .otherwise(1.0)
-    )
-    steps.append(("v", F.when(silent, 0.0).otherwise(v * weight)))
-    return steps
+def _valences(lexicon: DataFrame) -> dict[str, float]:
+    """The lexicon as a model of bounded size; larger ones are refused, since every task holds it."""
+    ship(lexicon.sparkSession)
+    lexicon = lexicon.select(F.lower("token").alias("word"), F.col("valence").cast("double").alias("v"))
+    lexicon = lexicon.filter("word IS NOT NULL AND v IS NOT NULL").groupBy("word").agg(F.min("v").alias("v"))
+    if not fits_broadcast(lexicon):
+        raise ValueError("the lexicon is too large to be held by every task")
+    return {row.word: row.v for row in lexicon.collect()}
+
+
+def _word_value(valences: Mapping[str, float], rules: Rules, words: Sequence[str], loud: Sequence[bool], i: int) -> float:
+    """What the word at `i` adds to the sum, from the words around it."""
+    word, v = words[i], valences[words[i]]
+    p1, p2, p3 = (words[i - k] if i >= k else "" for k in (1, 2, 3))
+    if "no" in (p1, p2) or (p3 == "no" and p1 in ("or", "nor")):
+        v *= fixed.NEGATION_FACTOR
+    elif word == "no" and i + 1 < len(words) and words[i + 1] in valences:
+        v = 0.0
+    if loud[i]:
+        v += fixed.CAPS_BOOST if v > 0 else -fixed.CAPS_BOOST
+    emphasised = (False, p2 == "never" and p1 in ("so", "this"), p3 == "never" and (p2 in ("so", "this") or p1 in ("so", "this")))
+    assured = (False, p2 == "without" and p1 == "doubt", p3 == "without" and "doubt" in (p1, p2))
+    for k, p in enumerate((p1, p2, p3)):
+        if i <= k or p in valences:
+            continue
+        if p in rules.strengtheners or p in rules.weakeners:
+            step = fixed.BOOST if p in rules.strengtheners else -fixed.BOOST
+            step = -step if v < 0 else step
+            if loud[i - k - 1]:
+                step += fixed.CAPS_BOOST if v > 0 else -fixed.CAPS_BOOST
+            v += step * fixed.BOOST_DECAY[k]
+        if emphasised[k]:
+            v *= fixed.NEVER_FACTOR
+        elif not assured[k] and (p in rules.negators or "n't" in p):
+            v *= fixed.NEGATION_FACTOR
+    if p1 == "least" and "least" not in valences and p2 not in ("at", "very"):
+        v *= fixed.NEGATION_FACTOR
+    degree = word in rules.strengtheners or word in rules.weakeners
+    return 0.0 if degree or (word == "kind" and words[i + 1 : i + 2] == ["of"]) else v
+
+
+def compound(lexicon: DataFrame, rules: Rules = Rules()) -> Callable[[Column], Column]:
+    """M1: a column function from text to its score in [-1, 1]; null for null or blank text.
+
+    A score depends on its row's text alone: no shuffle, no id, and the same in batch and stream.
+    """
+    valences = _valences(lexicon)
+    rules = Rules(frozenset(rules.strengtheners), frozenset(rules.weakeners), frozenset(rules.negators), rules.contrast)
+
+    @F.pandas_udf("double")
+    def total(words: pd.Series, upper: pd.Series) -> pd.Series:
+        out = []
+        for own, capitals in zip(words, upper, strict=True):
+            if own is None:
+                out.append(None)
+                continue
+            own, capitals = list(own), list(capitals)
+            mixed = 0 < sum(capitals) < len(own)
+            loud = capitals if mixed else [False] * len(own)
+            turn = own.index(rules.contrast) if rules.contrast in own else -1
+            s = 0.0
+            for i, word in enumerate(own):
+                if word in valences:
+                    weight = 1.0 if turn < 0 or i == turn else fixed.CONTRAST_BEFORE if i < turn else fixed.CONTRAST_AFTER
+                    s += weight * _word_value(valences, rules, own, loud, i)
+            out.append(s)
+        return pd.Series(out, dtype="float64")
+
+    def score(c: Column) -> Column:
+        words = _words(c)
+        s = total(F.transform(words, F.lower), F.transform(words, _is_upper))
+        s = s + F.signum(s) * _emphasis(c)
+        bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s / F.sqrt(s * s + fixed.NORMALISER)))
+        return F.when(text.strip(c) != "", F.round(bounded, 4))
+
+    return score
+
+
+def polarity(lexicon: DataFrame) -> Callable[[Column], Column]:
+    """M2: a column function to the mean valence of the text's words found in the lexicon, 0 when none is."""
+    valences = _valences(lexicon)
+
+    @F.pandas_udf("double")
+    def mean(words: pd.Series) -> pd.Series:
+        def one(own) -> float:
+            found = [valences[w] for w in own if w in valences]
+            return sum(found) / len(found) if found else 0.0
+
+        return words.map(one).astype("float64")
+
+    return lambda c: mean(text.tokens(F.coalesce(c, F.lit(""))))
 
 
 def compound_scores(
     docs: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text", rules: Rules = Rules()
 ) -> DataFrame:
-    """M1: (id, compound) per document, in [-1, 1]; null for blank text. `id_col` is unique.
-
-    Context is read inside each row and the lexicon is joined on the map side, so the one shuffle
-    carries about one partial sum per document, not its text.
-    """
-    docs = docs.filter(F.col(text_col).isNotNull())
-    lexicon = lexicon.select(F.lower("token").alias("word"), F.col("valence").cast("double").alias("v"))
-    lexicon = lexicon.dropDuplicates(["word"])
-    small = fits_broadcast(lexicon)
-    carrier = docs.sparkSession.range(1).select(F.lit(NO_TOKEN).alias("word"), F.lit(0.0).alias("v"))
-    rows = _word_rows(docs, id_col, text_col, rules).withColumn("word", F.lower("w"))
-    rows = _join_lexicon(rows, lexicon.unionByName(carrier), "word", "inner", small)
-    rows = rows.withColumns({f"p{k}": F.lower(f"w{k}") for k in (1, 2, 3)})
-    for key, flag in (("p1", "known1"), ("p2", "known2"), ("p3", "known3"), ("after", "known_after")):
-        known = lexicon.select(F.col("word").alias(key), F.lit(True).alias(flag))
-        rows = _join_lexicon(rows, known, key, "left", small)
-        rows = rows.withColumn(flag, F.coalesce(flag, F.lit(False)))
-    for name, step in _adjusted(rules):
-        rows = rows.withColumn(name, step)
-    summed = rows.groupBy(id_col).agg(
-        F.sum("v").alias("s"), F.max("emphasis").alias("emphasis"), F.max("blank").alias("blank")
-    )
-    s = F.col("s") + F.signum("s") * F.col("emphasis")
-    score = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s / F.sqrt(s * s + fixed.NORMALISER)))
-    return summed.select(id_col, F.when(~F.col("blank"), F.round(score, 4)).alias("compound"))
+    """M1: (id, compound) for each row with text; null for blank text. Ids may repeat or be null."""
+    kept = docs.filter(F.col(text_col).isNotNull())
+    return kept.select(id_col, compound(lexicon, rules)(F.col(text_col)).alias("compound"))
 
 
 def mean_polarity(
     docs: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text"
 ) -> DataFrame:
-    """M2: (id, polarity), the mean valence of the words found in the lexicon, 0 when none is."""
-    lexicon = lexicon.select(F.lower("token").alias("word"), F.col("valence").cast("double").alias("v"))
-    lexicon = lexicon.dropDuplicates(["word"])
-    small = fits_broadcast(lexicon)
-    carrier = docs.sparkSession.range(1).select(
-        F.lit(NO_TOKEN).alias("word"), F.lit(None).cast("double").alias("v")
-    )
-    found = text.tokens(F.coalesce(F.col(text_col), F.lit("")))
-    numbered = F.posexplode_outer(F.concat(found, F.array(F.lit(NO_TOKEN))))
-    rows = docs.select(id_col, numbered.alias("i", "word"))
-    rows = _join_lexicon(rows, lexicon.unionByName(carrier), "word", "inner", small)
-    return rows.groupBy(id_col).agg(F.coalesce(F.avg("v"), F.lit(0.0)).alias("polarity"))
+    """M2: (id, polarity) for each row. Ids may repeat or be null."""
+    return docs.select(id_col, polarity(lexicon)(F.col(text_col)).alias("polarity"))
 
 
 def score_table(
@@ -221,10 +171,8 @@ def score_table(
 ) -> DataFrame:
     """M3: records with text plus sentiment_compound, sentiment_label and scored_at."""
     kept = records.filter(text.has_text(F.col(text_col)))
-    scores = compound_scores(kept, lexicon, id_col, text_col, rules)
-    scores = scores.withColumnRenamed("compound", "sentiment_compound")
     return (
-        kept.join(scores, id_col)
+        kept.withColumn("sentiment_compound", compound(lexicon, rules)(F.col(text_col)))
         .withColumn("sentiment_label", polarity_label(F.col("sentiment_compound"), labels))
         .withColumn("scored_at", F.current_timestamp() if scored_at is None else scored_at)
     )
@@ -240,9 +188,10 @@ def weak_labels(
 ) -> DataFrame:
     """M9: (id, compound, compound_label, polarity, polarity_label); missing text scores 0."""
     polarity_lexicon = lexicon if polarity_lexicon is None else polarity_lexicon
-    filled = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
-    compound = compound_scores(filled, lexicon, id_col, text_col, rules)
-    both = compound.join(mean_polarity(filled, polarity_lexicon, id_col, text_col), id_col)
+    filled = F.coalesce(F.col(text_col), F.lit(""))
+    both = docs.select(
+        id_col, compound(lexicon, rules)(filled).alias("compound"), polarity(polarity_lexicon)(filled).alias("polarity")
+    )
     compound_value = F.coalesce("compound", F.lit(0.0))
     return both.select(
         id_col,

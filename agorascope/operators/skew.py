@@ -12,7 +12,9 @@ from agorascope.operators.lineage import cut
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1024
+#: Rows of one key from which it is spread, and about as many as one of its parts has then.
 HOT_ROWS = 1_000_000
+#: Parts of the rows without a key, which meet nothing.
 SALTS = 64
 
 
@@ -27,19 +29,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def hot_keys(
-    df: DataFrame, on: Sequence[str], min_rows: int = HOT_ROWS, limit: int = HOT_KEYS
+    df: DataFrame, on: Sequence[str], min_rows: int | None = None, limit: int = HOT_KEYS
 ) -> DataFrame:
-    """The most frequent keys, at most `limit` of them.
+    """The most frequent keys, at most `limit` of them, and in how many parts (`_parts`) each is spread.
 
     A key outside this list owns less than 1/limit of the rows or fewer than `min_rows`. The list
     only decides which keys are spread; no row depends on it.
     """
+    min_rows = HOT_ROWS if min_rows is None else min_rows
     counts = df.dropna(subset=list(on)).groupBy(*on).agg(F.count("*").alias("_rows"))
     return (
         counts.filter(F.col("_rows") >= min_rows)
         .orderBy(F.desc("_rows"), *on)
         .limit(limit)
-        .select(*on, F.lit(True).alias("_hot"))
+        .select(*on, F.greatest(F.lit(2), F.ceil(F.col("_rows") / min_rows)).cast("int").alias("_parts"))
     )
 
 
@@ -49,10 +52,9 @@ def spread_join(
     on: Sequence[str],
     how: str = "inner",
     hot: DataFrame | None = None,
-    salts: int = SALTS,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
-    """Equi-join where rows of a hot key in `big` go to `salts` tasks and its `small` rows to all of them.
+    """Equi-join where rows of a hot key in `big` go to as many tasks as its rows ask for, its `small` rows to all of them.
 
     `how` is inner, left, left_semi or left_anti. Rows of `big` should be distinct (aggregate
     copies first), since the salt is a hash of the row and stays the same when a task is rerun.
@@ -62,17 +64,22 @@ def spread_join(
     on = list(on)
     hot = F.broadcast(hot_keys(big, on, min_rows) if hot is None else hot)
     plain = [f.name for f in big.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    salt = F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+    hashed = F.xxhash64(*plain)
     no_key = F.lit(False)
     for name in on:
         no_key = no_key | F.col(name).isNull()
     left = (
         big.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, salt).otherwise(0))
-        .drop("_hot")
+        .withColumn(
+            "_salt",
+            F.when(F.col("_parts").isNotNull(), F.pmod(hashed, F.col("_parts")))
+            .when(no_key, F.pmod(hashed, F.lit(SALTS))).otherwise(0).cast("int"),
+        )
+        .drop("_parts")
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread = F.sequence(F.lit(0), F.col("_parts") - 1)
+    copies = F.when(F.col("_parts").isNotNull(), spread).otherwise(F.array(F.lit(0)))
+    right = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_parts")
     return left.join(right, on + ["_salt"], how).drop("_salt")
 
 

@@ -446,7 +446,7 @@ SELECT node, community, degree_w, greatest(20, least(800, degree_w * 2)) AS mark
     "top_degree_subgraph_edges": f"""WITH {_SUBGRAPH}
 SELECT src, dst, weight, a.community AS src_comm, b.community AS dst_comm
 FROM inside JOIN marked a ON a.node = src JOIN marked b ON b.node = dst""",
-    "betweenness_exact": f"""WITH RECURSIVE {_betweenness_cte("CASE WHEN n <= 500 THEN n ELSE 500 END")}
+    "betweenness_exact": f"""WITH RECURSIVE {_betweenness_cte("n")}
 SELECT node, in_degree_w, out_degree_w, degree_w, betweenness FROM degrees JOIN betweenness USING (node)""",
     "betweenness_sampled": f"""WITH RECURSIVE {_betweenness_cte("32")}
 SELECT node, betweenness FROM betweenness""",
@@ -466,6 +466,9 @@ SELECT node, round(x, 6) AS centrality FROM power WHERE h = 100""",
 SELECT doc_id, round(compound, 3) AS sentiment_compound,
        {_short_label("compound", True, fixed.LONG_LABELS)} AS sentiment_label,
        TIMESTAMP '2024-01-01 00:00:00' AS scored_at
+FROM compounds WHERE length(text) > 0""",
+    "lexicon_sentiment_repeated_ids": f"""WITH {COMPOUND_CTE}
+SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN doc_id % 50 END AS id, round(compound, 3) AS sentiment_compound
 FROM compounds WHERE length(text) > 0""",
     "mean_polarity": f"""WITH {POLARITY_CTE}
 SELECT doc_id, round(polarity, 6) + 0.0 AS polarity, {_short_label("polarity", False)} AS label FROM polarity""",

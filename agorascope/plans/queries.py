@@ -411,6 +411,15 @@ def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("text").withColumn("sentiment_compound", F.round("sentiment_compound", 3))
 
 
+@query
+def lexicon_sentiment_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M3 over records whose ids repeat or are missing: each row has the score of its own text."""
+    key = F.when(F.col("doc_id") % 7 > 0, F.col("doc_id") % 50).alias("id")
+    docs = _documents(spark, sf_dir).select("doc_id", key, "text")
+    scored = sentiment.score_table(docs, lexicon(spark), "id", "text", RULES)
+    return scored.select("doc_id", "id", F.round("sentiment_compound", 3).alias("sentiment_compound"))
+
+
 @query
 def mean_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2, F7."""

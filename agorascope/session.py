@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,3 +32,17 @@ def build_session(name: str = "agorascope", master: str | None = None, **extra:
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Adds this package's source to the application's files, once, for Python workers that do not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="agorascope-")) / f"{package.name}-source.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(target))
+        _SHIPPED.add(context.applicationId)
+    return spark

@@ -98,6 +98,12 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something has been written at `path` yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def newest(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """T4: the row of the latest batch for each key (merge on read)."""
     return first_per_key(batches, keys, [F.desc("batch_id")]).drop("batch_id")

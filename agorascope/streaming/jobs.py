@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from agorascope.operators.aggregates import window_stats, window_volume
 from agorascope.operators.enrichment import unscored
-from agorascope.sources.files import newest, read_batches, write_batch
+from agorascope.sources.files import folder_exists, newest, read_batches, write_batch
 from agorascope.sources.messages import TOPICS, decode, parse, processed
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -87,8 +87,13 @@ def read_windows(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFram
 def dedupe(
     messages: DataFrame, key: str = "fullname", time: str = "event_ts", delay: str = "10 minutes"
 ) -> DataFrame:
-    """The first message of each identity within the watermark, across restarts."""
-    return messages.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    """The first message of each identity within the watermark, across restarts.
+
+    A message without an identity is one with those only that are alike in every column.
+    """
+    whole = F.concat(F.lit("#"), F.sha2(F.to_json(F.struct(*messages.columns)), 256))
+    marked = messages.withColumn("_identity", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), whole))
+    return marked.withWatermark(time, delay).dropDuplicatesWithinWatermark(["_identity"]).drop("_identity")
 
 
 def start_scoring(
@@ -99,18 +104,16 @@ def start_scoring(
     key: str = "id",
     every: str | None = None,
 ) -> StreamingQuery:
-    """Score what earlier batches have not scored; a score once written stays.
+    """Score what earlier batches have not scored; a score once written stays. Rows without a key are all scored.
 
     K8: limit a batch at its source, by `maxFilesPerTrigger` or `maxOffsetsPerTrigger`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([key])
-        try:
+        has_key = F.col(key).isNotNull()
+        fresh = batch.filter(has_key).dropDuplicates([key]).unionByName(batch.filter(~has_key))
+        if folder_exists(batch.sparkSession, out):
             earlier = read_batches(batch.sparkSession, out).filter(f"batch_id < {batch_id}")
-        except AnalysisException:
-            earlier = None  # nothing scored yet
-        if earlier is not None:
             fresh = unscored(fresh, earlier, key)
         write_batch(score(fresh), batch_id, out)
 

@@ -190,3 +190,11 @@ def test_eigenvector_of_a_ring_with_a_hub(spark):
     values, vectors = np.linalg.eig(m)
     lead = np.abs(vectors[:, np.argmax(values.real)].real)
     assert [got[x] for x in "abc"] == pytest.approx(list(lead / np.linalg.norm(lead)), abs=1e-4)
+
+
+def test_weights_beyond_int_and_below_one(spark):
+    rows = [("a", "b", 3_000_000_000), ("b", "c", 1)]
+    weights = {r["src"]: r["weight"] for r in edges.directed(table(spark, rows)).collect()}
+    assert weights == {"a": 3_000_000_000, "b": 1}
+    with pytest.raises(ValueError):
+        centrality.betweenness(table(spark, [("a", "b", 0), ("b", "a", 0), ("b", "c", 1)]))

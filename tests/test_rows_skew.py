@@ -14,7 +14,7 @@ def test_spread_join_equals_plain_join(spark):
     small = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         want = big.join(small, ["k"], how)
-        got = skew.spread_join(big, small, ["k"], how, salts=5, min_rows=100)
+        got = skew.spread_join(big, small, ["k"], how, min_rows=100)
         assert got.columns == want.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
         over = skew.lookup_join(big, small, ["k"], how, max_rows=1)
@@ -25,7 +25,7 @@ def test_spread_join_spreads_the_hot_key(spark):
     big = spark.range(10_000).select(F.lit(7).alias("k"), F.col("id").alias("v"))
     small = spark.createDataFrame([(7, "x")], "k int, w string")
     assert [r["k"] for r in skew.hot_keys(big, ["k"], 100).collect()] == [7]
-    joined = skew.spread_join(big, small, ["k"], salts=8, min_rows=100)
+    joined = skew.spread_join(big, small, ["k"], min_rows=100)
     assert joined.count() == 10_000
 
 
@@ -62,3 +62,16 @@ def test_top_per_group_limits_before_shuffle(spark):
     ]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and plan.count("WindowGroupLimit") >= 2
+
+
+def test_split_keeps_rows_without_a_label(spark):
+    df = spark.range(300).selectExpr("id", "CASE WHEN id % 3 > 0 THEN id % 3 END AS label")
+    got = rows.stratified_split(df, "id", "label").groupBy("label").agg({"is_test": "count"}).collect()
+    assert sorted((str(r[0]), r[1]) for r in got) == [("1", 100), ("2", 100), ("None", 100)]
+
+
+def test_every_row_without_an_identity_stays(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "key string, at int")
+    from pyspark.sql import functions as F
+
+    assert sorted(r.at for r in rows.first_per_identity(df, "key", [F.asc("at")]).collect()) == [1, 3, 4]

@@ -52,12 +52,23 @@ def test_compound_rules(spark):
     assert got == want
 
 
-def test_compound_without_broadcast_and_repartitioned(spark, monkeypatch):
-    texts = [*CASES, None]
-    want = scored(spark, texts)
+def test_compound_of_absent_text(spark):
+    assert scored(spark, [*CASES, None])[-1] == "absent"
+
+
+def test_too_large_a_lexicon_is_refused(spark, monkeypatch):
     monkeypatch.setattr(sentiment, "fits_broadcast", lambda df, *a: False)
-    assert scored(spark, texts) == want
-    assert want[-1] == "absent"
+    with pytest.raises(ValueError):
+        scored(spark, ["good"])
+
+
+def test_rows_are_scored_each_for_itself(spark):
+    rows = [("p", "good"), ("p", "bad"), ("q", "good day"), ("q", "good day"), (None, "good"), ("r", None), ("s", "")]
+    table = sentiment.score_table(spark.createDataFrame(rows, "id string, text string"), lexicon(spark))
+    got = sorted((str(r.id), r.text, r.sentiment_compound) for r in table.collect())
+    bad = round(-2.5 / math.sqrt(2.5**2 + 15), 4)
+    assert got == [("None", "good", 0.4404), ("p", "bad", bad), ("p", "good", 0.4404), ("q", "good day", 0.4404), ("q", "good day", 0.4404)]
+    assert "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
 
 
 def test_mean_polarity_and_weak_labels(spark):
@@ -139,8 +150,9 @@ def test_tfidf_equals_plain_code(spark, top, min_df):
     vectors, vocab = features.tfidf(docs, "id", "text", ["the", "on"], top, min_df)
     want = plain_tfidf([t for _, t in DOCS], {"the", "on"}, top, min_df)
     got = {r["id"]: {x["term"]: x["weight"] for x in r["features"]} for r in vectors.collect()}
+    assert sorted(got) == list(range(len(want)))
     for i, weights in enumerate(want):
-        assert got.get(i, {}) == pytest.approx(weights)
+        assert got[i] == pytest.approx(weights)
     terms = [r["term"] for r in vocab.orderBy("term_id").collect()]
     assert terms == sorted(terms) and len(terms) <= top
 
