@@ -10,10 +10,10 @@ their number); the orders differ in how they scramble tokens of one power.
    raise a class, alike for all documents.
 2. First order: a document's prefix. Its tokens of a single document can be shared with none, so a document of which a
    quarter is its own has no token left and is linked with nothing. The tokens of the others are what pairs are made from.
-3. Pairs are made losslessly for *components*, not for every link: in the block of a token each set meets one leader;
-   sets found linked become one class; a block whose sets are all of one class is done. This repeats, with other
-   leaders, until the pairs between different classes that are left in blocks are few against the sets, or a round
-   does not halve them; those that are left are all tested, where the token can be the first that the two share by its
+3. Pairs are made losslessly for *components*, not for every link: in the block of a token each set meets one leader
+   (first the set with the least share of tokens of its own, as the original of edited copies has; then others); sets
+   found linked become one class; a block whose sets are all of one class is done. This repeats until the pairs between
+   different classes that are left in blocks are few against the sets, or a round takes less than a fifth of them; those that are left are all tested, where the token can be the first that the two share by its
    place in both and by their sizes. So a group of n near copies costs about n tests, and no link between two classes
    is missed.
 4. A pair must share prefix tokens in each of the other orders as well before its sets are compared in full.
@@ -91,10 +91,11 @@ def _short_keys(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarra
 
 
 def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The written table (id, set_id, n, tokens, rests, members, classes) of all documents.
+    """The written table (id, set_id, n, single, tokens, rests, members, classes) of all documents.
 
     `tokens` are the prefix tokens (first order) that another document holds and `rests` the numbers of tokens from each
-    one on; `members` and `classes` are the whole set of a document that has such tokens.
+    one on; `members` and `classes` are the whole set of a document that has such tokens. `single` is the share of the
+    set's tokens that no other document holds.
     """
     spark = ship(docs.sparkSession)
     narrow = docs.select(
@@ -148,7 +149,7 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         of = replies["bucket"].to_numpy().astype(np.uint64)[row]
         known, at = np.unique(of << np.uint64(40) | high.astype(np.uint64) << np.uint64(32) | low, return_index=True)
         told = told[at]
-        out: dict[str, list] = {k: [] for k in ("id", "set_id", "n", "tokens", "rests", "members", "classes")}
+        out: dict[str, list] = {k: [] for k in ("id", "set_id", "n", "single", "tokens", "rests", "members", "classes")}
         for piece in W.pieces(table, "text"):
             out["id"].append(piece.column(1))
             for s in shingle_sets(piece, "text", size):
@@ -162,18 +163,19 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 shared = np.flatnonzero(classes[first] > 0)
                 out["set_id"].append(_set_id(s))
                 out["n"].append(len(s))
+                out["single"].append(float((classes == 0).sum()) / max(len(s), 1))
                 out["tokens"].append(s[first[shared]].view(np.int64))
                 out["rests"].append(len(s) - shared)
                 out["members"].append(s.tobytes() if len(shared) else None)
                 out["classes"].append(classes.tobytes() if len(shared) else None)
         ids = pa.concat_arrays(out["id"]) if out["id"] else pa.array([], pa.int64())
-        kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        kinds = [pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
         return pa.table([ids, *(pa.array(out[k], kind) for k, kind in zip(list(out)[1:], kinds, strict=True))], names=list(out))
 
     asked = narrow.select("chunk", "text").mapInArrow(ask, "bucket int, chunk long, low binary, high binary, counts binary")
     known = cut(asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, low binary, high binary, classes binary"), "frequencies")
     sets = narrow.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        sets_of, "id long, set_id binary, n long, tokens array<bigint>, rests array<bigint>, members binary, classes binary"
+        sets_of, "id long, set_id binary, n long, single double, tokens array<bigint>, rests array<bigint>, members binary, classes binary"
     )
     return cut(sets, "sets")
 
@@ -225,12 +227,12 @@ def linked_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     with_tokens = sets.filter("members IS NOT NULL")
     chosen = with_tokens.groupBy("set_id").agg(
         F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("node"), F.first("n").alias("n"),
-        F.first(F.arrays_zip("tokens", "rests")).alias("tokens"),
+        F.first("single").alias("single"), F.first(F.arrays_zip("tokens", "rests")).alias("tokens"),
     )
-    chosen = chosen.groupBy("node").agg(F.first(F.struct("n", "tokens")).alias("set")).select("node", "set.*")
+    chosen = chosen.groupBy("node").agg(F.first(F.struct("n", "single", "tokens")).alias("set")).select("node", "set.*")
     chosen = scratch.cut(chosen)
     count = chosen.count()
-    rows = chosen.select("node", "n", F.inline("tokens")).withColumnRenamed("tokens", "token").withColumnRenamed("rests", "rest")
+    rows = chosen.select("node", "n", "single", F.inline("tokens")).withColumnRenamed("tokens", "token").withColumnRenamed("rests", "rest")
     labels = links = tested = before = None
     turn = 0
     while True:
@@ -243,7 +245,7 @@ def linked_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         open_blocks = scratch.cut(blocks.filter("classes > 1"))
         left = open_blocks.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()[0] or 0
         inside = now.join(open_blocks.select("token"), "token", "left_semi")
-        last = left <= PAIRS_PER_SET * count or (before is not None and 2 * left > before)
+        last = left <= PAIRS_PER_SET * count or (before is not None and 1.25 * left > before)
         before = left
         if last:
             other = inside.select("token", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("class").alias("class2"), F.col("rest").alias("rest2"))
@@ -251,7 +253,8 @@ def linked_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             met = met.filter((100 + percent) * F.least("rest", "rest2") >= percent * (F.col("n") + F.col("n2")))
             pairs = met.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
         else:
-            key = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("class").alias("class2"))
+            first = F.col("single") if turn == 0 else F.lit(0.0)
+            key = F.struct(first.alias("s"), F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("class").alias("class2"))
             leaders = inside.groupBy("token").agg(F.min(key).alias("leader")).select("token", "leader.node2", "leader.n2", "leader.class2")
             met = inside.join(leaders, "token").filter("class <> class2").filter(_may_link(percent))
             shared_tokens = met.groupBy("node", "node2").agg(F.count("*").alias("k"))
