@@ -462,6 +462,9 @@ power(node, x, h) AS (
     GROUP BY node, h)
 )
 SELECT node, round(x, 6) AS centrality FROM power WHERE h = 100""",
+    "jsonl_roundtrip": "SELECT doc_id, lang, n_chars, text FROM documents",
+    "csv_roundtrip": "SELECT doc_id, text, source FROM documents",
+    "table_roundtrip": "SELECT doc_id, source FROM documents WHERE n_chars > 500",
     "lexicon_sentiment": f"""WITH {COMPOUND_CTE}
 SELECT doc_id, round(compound, 3) AS sentiment_compound,
        {_short_label("compound", True, fixed.LONG_LABELS)} AS sentiment_label,
@@ -526,7 +529,7 @@ terms AS (
 counts AS (SELECT doc_id, term, count(*) AS n FROM terms GROUP BY ALL),
 vocab AS (
   SELECT term, count(*) AS df, sum(n) AS cf FROM counts GROUP BY term HAVING count(*) >= 2
-  ORDER BY cf DESC, term LIMIT 5000
+  ORDER BY cf DESC, term LIMIT 20000
 ),
 size AS (SELECT count(*) AS n FROM documents),
 weights AS (

@@ -493,7 +493,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def tfidf_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4, K6: the five heaviest terms of each document."""
-    vectors, _ = features.tfidf(_documents(spark, sf_dir), "doc_id", "text", STOP_WORDS, 5_000, 2)
+    vectors, _ = features.tfidf(_documents(spark, sf_dir), "doc_id", "text", STOP_WORDS, 20_000, 2)
     best = features.top_terms(vectors, "doc_id", 5)
     return best.withColumn("weight", F.round("weight", 6))
 
@@ -505,7 +505,7 @@ def train_eval_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text").join(truth, "doc_id")
     split = cut(rows.stratified_split(docs, "doc_id", "true_label"), "split")
     fit, held = split.filter(~F.col("is_test")), split.filter("is_test")
-    model = classifier.train(fit, "text", "true_label", STOP_WORDS, max_features=5_000)
+    model = classifier.train(fit, "text", "true_label", STOP_WORDS)
     predicted = classifier.predict(held, model).withColumn("tfidf_logreg", F.col("sentiment.label"))
     pairs = evaluation.stack_predictions(predicted, "true_label", ["tfidf_logreg"])
     return evaluation.classification_report(pairs)
@@ -515,7 +515,7 @@ def train_eval_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nmf_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7, K6, S15."""
     docs = _documents(spark, sf_dir)
-    fitted = topics.factorise(docs, "doc_id", "text", STOP_WORDS, k=8, rounds=10)
+    fitted = topics.factorise(docs, "doc_id", "text", STOP_WORDS, k=8)
     report = topics.topic_report(fitted, docs, "doc_id", "text")
     return report.select(
         "topic_id", F.concat_ws(",", "keywords").alias("keywords"), F.concat_ws("|", "examples").alias("examples")
@@ -526,7 +526,7 @@ def nmf_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: the most frequent dominant topic of each source."""
     docs = _documents(spark, sf_dir)
-    fitted = topics.factorise(docs, "doc_id", "text", STOP_WORDS, k=4, rounds=5, max_features=5_000)
+    fitted = topics.factorise(docs, "doc_id", "text", STOP_WORDS, k=8)
     best = trends.dominant_topic(topics.document_topics(fitted, "doc_id"), "doc_id")
     return trends.dominant_per_channel(docs.select("doc_id", "source").join(best, "doc_id"), "source")
 
@@ -553,6 +553,38 @@ def sentiment_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.label_trend(labelled).withColumn("share", F.round("share", 6))
 
 
+# --- readers and writers ---
+
+
+@query
+def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as JSON lines and read again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text")
+    path = new_path(spark, "jsonl")
+    files.write_json(docs, path)
+    return files.read_jsonl(spark, path, docs.schema, "UTF-8")
+
+
+@query
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of several lines written as quoted CSV and read again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    path = new_path(spark, "csv")
+    files.write_csv(docs, path)
+    return files.read_csv(spark, path, docs.schema)
+
+
+@query
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced, then appended to, then read by column and filter."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    path = new_path(spark, "stored")
+    files.replace_table(docs, path)
+    files.replace_table(docs.filter("lang = 'en'"), path)
+    files.append_rows(docs.filter("lang <> 'en'"), path)
+    return files.read_table(spark, path, ["doc_id", "source"], F.col("n_chars") > 500)
+
+
 # --- streaming ---
 
 MESSAGE_SCHEMA = T.StructType(
