@@ -137,8 +137,11 @@ def polarity(lexicon: DataFrame) -> Callable[[Column], Column]:
     @F.pandas_udf("double")
     def mean(words: pd.Series) -> pd.Series:
         def one(own) -> float:
-            found = [valences[w] for w in own if w in valences]
-            return sum(found) / len(found) if found else 0.0
+            total, n = 0.0, 0  # added up plainly: sum() corrects rounding, and a threshold may lie on the mean
+            for w in own:
+                if w in valences:
+                    total, n = total + valences[w], n + 1
+            return total / n if n else 0.0
 
         return words.map(one).astype("float64")
 
