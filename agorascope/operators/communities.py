@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -92,11 +93,12 @@ def _quality(after: DataFrame, two_m: float) -> float:
     return inside / two_m - squares / (two_m * two_m)
 
 
-def _local_moves(scratch: Scratch, level: Level, rounds: int) -> tuple[DataFrame, bool]:
+def _local_moves(scratch: Scratch, level: Level) -> tuple[DataFrame, bool]:
     """Nodes move to the neighbouring community of largest gain, half of them per round.
 
     Labels that turn out worse are dropped, and the next round moves other nodes from the labels
-    before. Returns the best labels, and whether they are better than single nodes.
+    before. Ends when `IDLE_ROUNDS` rounds one after another, each with other nodes, gain nothing. Returns
+    the best labels, and whether they are better than single nodes.
     """
     forward = level.pairs.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
     backward = level.pairs.select(F.col("dst").alias("node"), F.col("src").alias("next"), "weight")
@@ -105,7 +107,7 @@ def _local_moves(scratch: Scratch, level: Level, rounds: int) -> tuple[DataFrame
     small = fits_broadcast(labels)
     hot = None if small else scratch.cut(hot_keys(both, ["node"]))
     kept, first, best, idle = labels, None, None, 0
-    for turn in range(rounds + 1):
+    for turn in itertools.count():  # each round that is not idle gains at least TOLERANCE of at most 1
         after = scratch.cut(_move(scratch, both, labels, level.two_m, turn, hot, small))
         q = _quality(after, level.two_m)
         first = q if first is None else first
@@ -133,12 +135,12 @@ def _contract(scratch: Scratch, level: Level, labels: DataFrame) -> Level:
     return Level(merged.filter("src <> dst"), loops, level.two_m)
 
 
-def louvain(edges: DataFrame, rounds: int = 16, levels: int = 6) -> DataFrame:
+def louvain(edges: DataFrame) -> DataFrame:
     """(node, community), communities numbered from 0 by size, then by smallest member name.
 
     Blondel et al. 2008 with moves made in parallel: in every round half of the nodes, chosen by a
     hash, take the community of largest gain; ties keep the node where it is, then prefer the
-    smallest number.
+    smallest number. Levels are added until one gains nothing.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "louvain")
@@ -154,8 +156,8 @@ def louvain(edges: DataFrame, rounds: int = 16, levels: int = 6) -> DataFrame:
     two_m = 2.0 * (numbered.agg(F.sum("weight")).first()[0] or 0.0)
     member = names.withColumn("community", F.col("node"))
     level = Level(ordered, loops, two_m)
-    for _ in range(levels if two_m else 0):
-        labels, moved = _local_moves(scratch, level, rounds)
+    while two_m:
+        labels, moved = _local_moves(scratch, level)
         if not moved:
             break
         side = labels.select(F.col("node").alias("community"), F.col("community").alias("above"))
@@ -172,10 +174,10 @@ def louvain(edges: DataFrame, rounds: int = 16, levels: int = 6) -> DataFrame:
     return final
 
 
-def community_outputs(edges: DataFrame, rounds: int = 16, levels: int = 6) -> tuple[DataFrame, DataFrame, DataFrame]:
+def community_outputs(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(node to community, community sizes, one-row run summary)."""
     pairs = undirected(edges)
-    labels = louvain(edges, rounds, levels)
+    labels = louvain(edges)
     return labels, community_sizes(labels), run_summary(pairs, labels)
 
 
