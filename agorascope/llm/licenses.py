@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 13
 UNKNOWNS = 2000
+#: Partitions of the training rows, whose number is bounded: each step of the fit is a pass over them.
+PARTS = 2
 SURE = 0.5
 OVERLAP = 0.6
 TEMPERATURES = (0.25, 0.5, 1.0, 2.0, 4.0)
@@ -141,7 +143,7 @@ def license_paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column:
     names = [UNKNOWN, *TEMPLATES]
     index = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("label")).cast("double") - 1
     sample = _features(_training(spark, paragraphs)).withColumn("y", index)
-    sample = sample.withColumn("kept", F.pmod(F.xxhash64("paragraph"), F.lit(5)) == 0).select("y", "features", "kept").cache()
+    sample = sample.withColumn("kept", F.pmod(F.xxhash64("paragraph"), F.lit(5)) == 0).select("y", "features", "kept").coalesce(PARTS).cache()
     learner = LogisticRegression(featuresCol="features", labelCol="y", family="multinomial", regParam=1e-4, maxIter=60, standardization=False)
     # Every class is in the training part, so that the model has all of them.
     model = learner.fit(sample.filter(~F.col("kept")))
