@@ -112,6 +112,32 @@ def test_main_text(body, want):
     assert extract.main_text(PAGE % body) == want
 
 
+_LONG = "<p>This is the long text of a page, and it goes on for quite a while here.</p><p>It has a second part, as long as the first one of them is.</p>"
+_LONG_TEXT = "This is the long text of a page, and it goes on for quite a while here. It has a second part, as long as the first one of them is."
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        (f"<main class='with-sidebar'>{_LONG}</main>", _LONG_TEXT),
+        (f"<article class='post has-comments'>{_LONG}</article>", _LONG_TEXT),
+        (f"<article id='comments-open'>{_LONG}</article><article class='comment'><p>So true.</p></article>", _LONG_TEXT),
+        (f"<form id='aspnetForm'><div>{_LONG}</div></form>", _LONG_TEXT),
+        (f"<div role='form'>{_LONG}</div>", _LONG_TEXT),
+        (f"<form><p>One.</p></form><form>{_LONG}</form><div class=comments>{_LONG * 9}</div>", _LONG_TEXT),
+        ("<form><p>Post number one.</p></form><form><p>Post number two.</p></form><form><p>Post number six.</p></form>", "Post number one. Post number two. Post number six."),
+        (f"<div><h2>Head</h2>{_LONG}</div><form><p>Sign up here</p></form>", f"Head {_LONG_TEXT}"),
+        (f"<article>{_LONG}{_LONG}</article><article>{_LONG}</article><article><h2>Third</h2><p>Its words.</p></article>",
+         f"{_LONG_TEXT} {_LONG_TEXT} {_LONG_TEXT} Third Its words."),
+        (f"<div><article>{_LONG}</article></div><div><article><h2>B</h2>{_LONG}</article></div>", f"{_LONG_TEXT} B {_LONG_TEXT}"),
+        (f"<article>{_LONG}</article><div>{_LONG}</div>", f"{_LONG_TEXT} {_LONG_TEXT}"),
+    ],
+)
+def test_main_text_is_not_lost_by_names(body, want):
+    assert extract.main_text(f"<body>{body}</body>") == want
+    assert extract.main_text(PAGE % body) == want
+
+
 def test_main_text_of_odd_pages(make):
     assert [extract.main_text(x) for x in (None, "", "plain &lt; text", "<p>", "<script>x", "a < b")] == ["", "", "plain < text", "", "", "a < b"]
     deep = "<div>" * 5000 + "deep words" + "</div>" * 5000
