@@ -176,6 +176,18 @@ def test_names_are_segmented_and_scored(make):
     assert all((r.verdict == "block") == ("casino" in r.url) for r in rows)
 
 
+def test_rare_tokens_and_long_words_keep_their_weight(make):
+    long = "pneumonoultramicroscopicsilico"
+    names = ["".join(chr(97 + k // 26**j % 26) for j in range(4)) for k in range(26**4 // 9)]
+    common = [(f"http://a.example/{a}/{b}/{c}",) for a, b, c in zip(names[::3], names[1::3], names[2::3], strict=False)] * 2
+    rows = common + [(f"http://{long}.{k}.example/",) for k in range(3)] + [("http://x.example/",), ("http://x.example/zzyzx",), ("http://keygen.example/zzyzx",)]
+    got = {r.url: r for r in urls.judged(make(rows, "url string")).collect()}
+    assert got["http://x.example/zzyzx"].block_odds > got["http://x.example/"].block_odds + 0.5
+    counts = urls.dictionary(make([(f"{long}.{k}",) for k in range(3)], "host string"))
+    words = {r.run: r.words for r in urls.segmented(make([(long + "shop",), ("casinowin",)], "run string"), counts).collect()}
+    assert words == {long + "shop": [long, "shop"], "casinowin": ["casino", "win"]}
+
+
 def test_nearest_examples_are_exact():
     r = np.random.default_rng(1)
     terms, n, k = 80, 300, 7
