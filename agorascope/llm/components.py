@@ -31,9 +31,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of the edges (a, b): the least node it is connected to. Ids are long."""
+    """(node, component) for every node of the edges (a, b): the least node it is connected to. Ids are of any one type with an order."""
     scratch = Scratch(edges.sparkSession, "components")
-    kind = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b").distinct()
+    kind = edges.select("a", "b").filter("a <> b").distinct()
     now, before = scratch.cut(kind), None
     while True:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

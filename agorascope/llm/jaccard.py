@@ -94,7 +94,7 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """The written table (id, set_id, n, single, tokens, rests, members, classes) of all documents.
 
     `tokens` are the prefix tokens (first order) that another document holds and `rests` the numbers of tokens from each
-    one on; `members` and `classes` are the whole set of a document that has such tokens. `single` is the share of the
+    one on; `members` and `classes` are the whole set of a document that has such tokens (of equal sets in a chunk, once). `single` is the share of the
     set's tokens that no other document holds.
     """
     spark = ship(docs.sparkSession)
@@ -149,6 +149,7 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         of = replies["bucket"].to_numpy().astype(np.uint64)[row]
         known, at = np.unique(of << np.uint64(40) | high.astype(np.uint64) << np.uint64(32) | low, return_index=True)
         told = told[at]
+        told_of: set[bytes] = set()
         out: dict[str, list] = {k: [] for k in ("id", "set_id", "n", "single", "tokens", "rests", "members", "classes")}
         for piece in W.pieces(table, "text"):
             out["id"].append(piece.column(1))
@@ -161,13 +162,17 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                     classes = np.where(known[at] == keys, told[at], classes)
                 first = prefix(s, classes, percent)
                 shared = np.flatnonzero(classes[first] > 0)
-                out["set_id"].append(_set_id(s))
+                own = _set_id(s)
+                # Copies in a chunk hold their set once.
+                whole = len(shared) > 0 and own not in told_of
+                told_of.add(own)
+                out["set_id"].append(own)
                 out["n"].append(len(s))
                 out["single"].append(float((classes == 0).sum()) / max(len(s), 1))
                 out["tokens"].append(s[first[shared]].view(np.int64))
                 out["rests"].append(len(s) - shared)
-                out["members"].append(s.tobytes() if len(shared) else None)
-                out["classes"].append(classes.tobytes() if len(shared) else None)
+                out["members"].append(s.tobytes() if whole else None)
+                out["classes"].append(classes.tobytes() if whole else None)
         ids = pa.concat_arrays(out["id"]) if out["id"] else pa.array([], pa.int64())
         kinds = [pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
         return pa.table([ids, *(pa.array(out[k], kind) for k, kind in zip(list(out)[1:], kinds, strict=True))], names=list(out))
@@ -181,11 +186,11 @@ def jaccard_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def _members(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, members, classes) of these nodes (distinct); the sets stay where they lie if there are few nodes."""
+    """(node, set) of these nodes (distinct); the sets stay where they lie if there are few nodes."""
     few = nodes.count() <= BROADCAST_NODES
-    ids = (F.broadcast(nodes) if few else nodes).withColumnRenamed("node", "id")
-    found = sets.filter("members IS NOT NULL").select(F.coalesce("id", F.lit(X.NO_ID)).alias("id"), "members", "classes").join(ids, "id")
-    return found.groupBy(F.col("id").alias("node")).agg(F.first(F.struct("members", "classes")).alias("set"))
+    ids = (F.broadcast(nodes) if few else nodes).withColumnRenamed("node", "set_id")
+    found = sets.filter("members IS NOT NULL").select("set_id", "members", "classes").join(ids, "set_id")
+    return found.groupBy(F.col("set_id").alias("node")).agg(F.first(F.struct("members", "classes")).alias("set"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -207,7 +212,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = members.select(F.col("node").alias("a"), F.col("set").alias("x"))
     right = members.select(F.col("node").alias("b"), F.col("set").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.select("a", "b", "x.members", "y.members", "x.classes", "y.classes").toDF("a", "b", "x", "y", "p", "q").mapInArrow(check, "a long, b long")
+    return both.select("a", "b", "x.members", "y.members", "x.classes", "y.classes").toDF("a", "b", "x", "y", "p", "q").mapInArrow(check, "a binary, b binary")
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -216,24 +221,32 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def _of_one_id(sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the sets of each id that has several."""
+    own = sets.filter("id IS NOT NULL AND n > 0").select("id", "set_id").distinct()
+    least = own.groupBy("id").agg(F.min("set_id").alias("a"), F.count("*").alias("k")).filter("k > 1")
+    return own.join(least, "id").select("a", F.col("set_id").alias("b")).filter("a <> b").distinct()
+
+
 def _may_link(percent: int):
     """Sizes under which two sets can be similar enough."""
     return (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).alias("fits")
 
 
 def linked_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of the sets that are linked with others; a set's node is the least id of its documents."""
+    """(node, component) of the sets that are linked with others, by their set_id; sets of one id are linked."""
     scratch = Scratch(sets.sparkSession, "classes")
     with_tokens = sets.filter("members IS NOT NULL")
-    chosen = with_tokens.groupBy("set_id").agg(
-        F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("node"), F.first("n").alias("n"),
+    chosen = with_tokens.groupBy(F.col("set_id").alias("node")).agg(
+        F.first("n").alias("n"),
         F.first("single").alias("single"), F.first(F.arrays_zip("tokens", "rests")).alias("tokens"),
     )
-    chosen = chosen.groupBy("node").agg(F.first(F.struct("n", "single", "tokens")).alias("set")).select("node", "set.*")
     chosen = scratch.cut(chosen)
     count = chosen.count()
     rows = chosen.select("node", "n", "single", F.inline("tokens")).withColumnRenamed("tokens", "token").withColumnRenamed("rests", "rest")
-    labels = links = tested = before = None
+    links = scratch.cut(_of_one_id(sets))
+    labels = None if links.isEmpty() else components(links)
+    tested = before = None
     turn = 0
     while True:
         now = rows.withColumn("class", F.col("node")) if labels is None else rows.join(labels, "node", "left").withColumn(
@@ -264,7 +277,7 @@ def linked_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.cut(pairs)
         found = scratch.cut(_verified(pairs, sets, percent))
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         scratch.release(now, open_blocks)
         if last:
@@ -279,8 +292,16 @@ def near_duplicates(
     """(`id_column`, n_shingles, component_id) for each row of `docs`."""
     sets = jaccard_sets(docs, id_column, text_column, size, percent)
     linked = linked_classes(sets, percent)
-    own = sets.filter("n > 0").groupBy("set_id").agg(F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("node"))
-    classes = own.join(linked, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
+    own = sets.filter("n > 0").groupBy("set_id").agg(F.min(F.coalesce("id", F.lit(X.NO_ID))).alias("least"))
+    own = own.join(linked.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("group", F.coalesce("component", "set_id"))
+    least = own.groupBy("group").agg(F.min("least").alias("component"))
+    classes = own.select("set_id", "group").join(least, "group").select("set_id", "component")
     out = sets.select("id", "set_id", "n").join(classes, "set_id", "left")
+    # A row without words goes with the other rows of its id.
+    empty = sets.filter("n = 0 AND id IS NOT NULL").select("id").distinct()
+    worded = sets.filter("n > 0").select("id", "set_id").distinct().join(empty, "id", "left_semi").join(classes, "set_id")
+    worded = worded.groupBy("id").agg(F.min("component").alias("of_id"))
+    wordless = out.filter("n = 0").join(worded, "id", "left").select("id", "n", F.col("of_id").alias("component"))
+    out = out.filter("n > 0").select("id", "n", "component").unionByName(wordless)
     component = F.nullif(F.coalesce("component", "id"), F.lit(X.NO_ID))
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -197,6 +197,18 @@ def test_near_duplicates_without_ids_or_rows(make):
     assert got == [(2, "None"), (3, "4"), (3, "4")]
 
 
+def test_different_texts_of_one_id_or_none_stay_sets(make):
+    r = random.Random(4)
+    texts = [" ".join(f"x{r.randrange(500)}" for _ in range(80)) for _ in range(12)]
+    near = [" ".join([*t.split()[:-1], "changed"]) for t in texts]
+    rows = [(None, t) for t in texts] + [(100 + k, t) for k, t in enumerate(near)]
+    rows += [(7, texts[0]), (7, "some words of another text that is linked with nothing"), (7, None), (300, texts[1]), (300, texts[2])]
+    got = jaccard.near_duplicates(make(rows, "doc_id long, text string").repartition(3)).collect()
+    want = {0: 7, 1: 101, 2: 101} | {k: 100 + k for k in range(3, 12)}
+    expected = [(None, want[k]) for k in range(12)] + [(100 + k, want[k]) for k in range(12)] + [(7, 7)] * 3 + [(300, 101)] * 2
+    assert sorted(map(str, ((r.doc_id, r.component_id) for r in got))) == sorted(map(str, expected))
+
+
 def test_components_of_paths_and_stars(make):
     edges = [(i, i + 1) for i in range(100, 130)] + [(7, k) for k in range(8, 40)] + [(50, 50), (61, 60)]
     got = {r.node: r.component for r in components.components(make(edges, "a long, b long")).collect()}
