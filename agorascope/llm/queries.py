@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, extract, jaccard, labelled, licenses, mixing, quality, substrings, topk, toxicity, urls
+from agorascope.llm import decontaminate, extract, jaccard, labelled, licenses, mixing, quality, sharding, substrings, topk, toxicity, urls
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,6 +96,16 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(pages).select("page_id", "host", "path", "rule", "verdict", "block_odds")
 
 
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.sharded(_table(spark, sf_dir, "documents"))
+    text = F.coalesce(F.col("record.text"), F.lit(""))
+    return placed.select(
+        "record.doc_id", "size", F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
