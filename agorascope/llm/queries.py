@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, extract, jaccard, labelled, licenses, mixing, quality, sharding, substrings, topk, toxicity, urls
+from agorascope.llm import decontaminate, extract, jaccard, labelled, licenses, mixing, quality, ranking, sharding, substrings, topk, toxicity, trie, urls
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,6 +106,17 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranking.ranked(docs, _table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -166,3 +177,53 @@ s AS (
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10
 """
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+ORACLES["op12_ranked_search"] = f"""
+WITH dw AS (SELECT doc_id, w FROM (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERMS}') AS w FROM documents) WHERE len(w) > 0),
+d AS (SELECT doc_id, w, len(w) AS n, row_number() OVER () AS row FROM dw),
+total AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM d),
+it AS (SELECT item_id, row_number() OVER () AS item, regexp_extract_all({_LOWER}, '{_TERMS}') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, item_id, unnest(w) AS term FROM it),
+tf AS (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * all_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, total),
+s AS (
+  SELECT item, item_id, row, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * all_docs) // all_terms))))) AS BIGINT) AS score
+  FROM iw JOIN tf USING (term) JOIN wt USING (term), total GROUP BY ALL)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 50
+"""
+
+_CRC_STEP = "list_reduce(list_concat([xor(x, y)], range(0, 8)), lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))"
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS turns
+  FROM t GROUP BY c),
+h AS (
+  SELECT c, turns, c - c % 20 AS base, xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda x, y: {_CRC_STEP})) % 4 AS h FROM own),
+conv AS (
+  SELECT h.c, list_concat(coalesce(o.turns, [])[1:h.h], h.turns[h.h + 1:]) AS path FROM h LEFT JOIN own o ON o.c = h.base),
+reach AS (SELECT c, d, path[1:d] AS p, len(path) = d AS ends FROM conv, unnest(range(0, len(path) + 1)) AS u(d)),
+node AS (
+  SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '') AS ids
+  FROM reach GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+full_node AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children,
+    (n_convs - 1) * CASE WHEN node.d = 0 THEN 0 ELSE len(regexp_extract_all(node.p[node.d].text, '{_SPACED}')) END AS own
+  FROM node LEFT JOIN kids ON kids.d = node.d AND kids.p = node.p),
+below AS (
+  SELECT u.d, p[1:u.d] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+  FROM full_node, unnest(range(0, full_node.d + 1)) AS u(d) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens,
+  sha256(n.ids) AS ends_sha256
+FROM full_node n JOIN below b ON b.d = n.d AND b.p = n.p LEFT JOIN node up ON up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
+"""
