@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agorascope import fixed
 from agorascope.functions import text
 from agorascope.functions.scores import polarity_label
+from agorascope.operators.phrases import PhraseTrie
 from agorascope.operators.skew import fits_broadcast
 from agorascope.session import ship
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Word classes of the compound score; the defaults are the common English ones of `fixed`."""
+    """Word classes of the compound score; the defaults are the common English ones of `fixed`. Degree words may be phrases."""
 
     strengtheners: Collection[str] = tuple(fixed.STRENGTHENERS)
     weakeners: Collection[str] = tuple(fixed.WEAKENERS)
@@ -52,75 +56,183 @@ def _emphasis(c: Column) -> Column:
     )
 
 
-def _valences(lexicon: DataFrame) -> dict[str, float]:
+#: The most words of an idiom: one that ends at a word begins at most three words before it.
+IDIOM_WORDS = 4
+_NAMED = ("no", "or", "nor", "never", "so", "this", "without", "doubt", "least", "at", "very", "kind", "of")
+
+
+def _valences(lexicon: DataFrame, key: str = "token", value: str = "valence") -> dict[str, float]:
     """The lexicon as a model of bounded size; larger ones are refused, since every task holds it."""
     ship(lexicon.sparkSession)
-    lexicon = lexicon.select(F.lower("token").alias("word"), F.col("valence").cast("double").alias("v"))
+    lexicon = lexicon.select(F.lower(key).alias("word"), F.col(value).cast("double").alias("v"))
     lexicon = lexicon.filter("word IS NOT NULL AND v IS NOT NULL").groupBy("word").agg(F.min("v").alias("v"))
     if not fits_broadcast(lexicon):
         raise ValueError("the lexicon is too large to be held by every task")
     return {row.word: row.v for row in lexicon.collect()}
 
 
-def _word_value(valences: Mapping[str, float], rules: Rules, words: Sequence[str], loud: Sequence[bool], i: int) -> float:
-    """What the word at `i` adds to the sum, from the words around it."""
-    word, v = words[i], valences[words[i]]
-    p1, p2, p3 = (words[i - k] if i >= k else "" for k in (1, 2, 3))
-    if "no" in (p1, p2) or (p3 == "no" and p1 in ("or", "nor")):
-        v *= fixed.NEGATION_FACTOR
-    elif word == "no" and i + 1 < len(words) and words[i + 1] in valences:
-        v = 0.0
-    if loud[i]:
-        v += fixed.CAPS_BOOST if v > 0 else -fixed.CAPS_BOOST
-    emphasised = (False, p2 == "never" and p1 in ("so", "this"), p3 == "never" and (p2 in ("so", "this") or p1 in ("so", "this")))
-    assured = (False, p2 == "without" and p1 == "doubt", p3 == "without" and "doubt" in (p1, p2))
-    for k, p in enumerate((p1, p2, p3)):
-        if i <= k or p in valences:
-            continue
-        if p in rules.strengtheners or p in rules.weakeners:
-            step = fixed.BOOST if p in rules.strengtheners else -fixed.BOOST
-            step = -step if v < 0 else step
-            if loud[i - k - 1]:
-                step += fixed.CAPS_BOOST if v > 0 else -fixed.CAPS_BOOST
-            v += step * fixed.BOOST_DECAY[k]
-        if emphasised[k]:
-            v *= fixed.NEVER_FACTOR
-        elif not assured[k] and (p in rules.negators or "n't" in p):
-            v *= fixed.NEGATION_FACTOR
-    if p1 == "least" and "least" not in valences and p2 not in ("at", "very"):
-        v *= fixed.NEGATION_FACTOR
-    degree = word in rules.strengtheners or word in rules.weakeners
-    return 0.0 if degree or (word == "kind" and words[i + 1 : i + 2] == ["of"]) else v
-
-
-def compound(lexicon: DataFrame, rules: Rules = Rules()) -> Callable[[Column], Column]:
+def _flat(words: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, and where each text begins and the last one ends."""
+    lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    return words.flatten(), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+
+
+class Scorer:
+    """The compound score's word rules for a batch of texts at once.
+
+    Words are looked up once and become numbers; a rule about neighbours is an expression on the numbers shifted by one,
+    two or three places, at the places of lexicon words only.
+    """
+
+    def __init__(self, valences: Mapping[str, float], rules: Rules, idioms: Mapping[str, float]):
+        phrases = {tuple(p.split()): v for p, v in idioms.items()}
+        steps = [(w, fixed.BOOST) for w in rules.strengtheners] + [(w, -fixed.BOOST) for w in rules.weakeners]
+        degrees = {tuple(w.split()): step for w, step in steps}
+        if any(len(p) > IDIOM_WORDS for p in phrases):
+            raise ValueError(f"an idiom has at most {IDIOM_WORDS} words")
+        words = {*valences, *rules.strengtheners, *rules.weakeners, *rules.negators, rules.contrast, *_NAMED}
+        words.update(w for p in [*phrases, *degrees] for w in p)
+        number = {w: i for i, w in enumerate(sorted(words))}
+        self.words = pa.array(sorted(words))
+        self.none = len(number)
+        self.named = {w: number[w] for w in (*_NAMED, rules.contrast)}
+        self.contrast = number[rules.contrast]
+        self.valence = np.zeros(self.none + 1)
+        self.scored, self.strong, self.weak, self.negating = (np.zeros(self.none + 1, bool) for _ in range(4))
+        for w, v in valences.items():
+            self.valence[number[w]], self.scored[number[w]] = v, True
+        for mark, own in ((self.strong, rules.strengtheners), (self.weak, rules.weakeners), (self.negating, rules.negators)):
+            mark[[number[w] for w in own]] = True
+        self.negating |= np.array(["n't" in w for w in sorted(words)] + [False])
+        numbered = lambda table: {tuple(number[w] for w in p): v for p, v in table.items() if len(p) > 1}
+        self.idioms, self.degrees = PhraseTrie(numbered(phrases)), PhraseTrie(numbered(degrees))
+
+    def sums(self, words: pa.ListArray, upper: pa.ListArray) -> np.ndarray:
+        """The sum of the values of each text's words."""
+        flat, starts = _flat(words)
+        lengths = np.diff(starts)
+        ids = pc.fill_null(pc.index_in(flat, value_set=self.words), self.none).to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        capitals = upper.flatten().to_numpy(zero_copy_only=False)
+        shouted = np.bincount(row, weights=capitals, minlength=len(lengths))
+        loud = capitals & ((shouted > 0) & (shouted < lengths))[row]
+        turn = np.full(len(lengths), -1)
+        turns = np.flatnonzero(ids == self.contrast)[::-1]
+        turn[row[turns]] = turns  # the first one of each text is set last
+        hits = np.flatnonzero(self.scored[ids])
+        negating = self.negating[ids] | pc.match_substring(flat, "n't").to_numpy(zero_copy_only=False)
+        value = self._values(ids, hits, starts[row[hits]], starts[row[hits] + 1], loud, negating, starts[row + 1])
+        after = turn[row[hits]]
+        weight = np.where((after < 0) | (hits == after), 1.0, np.where(hits < after, fixed.CONTRAST_BEFORE, fixed.CONTRAST_AFTER))
+        return np.bincount(row[hits], weights=weight * value, minlength=len(lengths))
+
+    def _values(
+        self, ids: np.ndarray, hits: np.ndarray, first: np.ndarray, end: np.ndarray, loud: np.ndarray, negating: np.ndarray, ends: np.ndarray
+    ) -> np.ndarray:
+        """What the word at each hit adds; `first` and `end` bound the hit's text, `ends` is the end of each word's text."""
+        near = lambda k: np.clip(hits - k, 0, max(0, len(ids) - 1))
+        there = {k: (hits - k >= first) & (hits - k < end) for k in (-1, 1, 2, 3)}
+        at = {k: np.where(there[k], ids[near(k)], self.none) for k in there}
+        word, after, p1, p2, p3 = ids[hits], at[-1], at[1], at[2], at[3]
+        is_ = lambda p, *names: np.isin(p, [self.named[n] for n in names])
+
+        v = self.valence[word]
+        refused = is_(p1, "no") | is_(p2, "no") | (is_(p3, "no") & is_(p1, "or", "nor"))
+        v = np.where(refused, v * fixed.NEGATION_FACTOR, np.where(is_(word, "no") & self.scored[after], 0.0, v))
+        v = np.where(loud[hits], v + np.where(v > 0, fixed.CAPS_BOOST, -fixed.CAPS_BOOST), v)
+        no = np.zeros(len(hits), bool)
+        emphasised = (no, is_(p2, "never") & is_(p1, "so", "this"), is_(p3, "never") & (is_(p2, "so", "this") | is_(p1, "so", "this")))
+        assured = (no, is_(p2, "without") & is_(p1, "doubt"), is_(p3, "without") & (is_(p2, "doubt") | is_(p1, "doubt")))
+        for k, p in enumerate((p1, p2, p3)):
+            counts = there[k + 1] & ~self.scored[p]
+            step = np.where(self.strong[p], fixed.BOOST, -fixed.BOOST)
+            step = np.where(v < 0, -step, step)
+            step = np.where(loud[near(k + 1)], step + np.where(v > 0, fixed.CAPS_BOOST, -fixed.CAPS_BOOST), step)
+            v = np.where(counts & (self.strong[p] | self.weak[p]), v + step * fixed.BOOST_DECAY[k], v)
+            denied = negating[near(k + 1)] & ~assured[k]
+            factor = np.where(emphasised[k], fixed.NEVER_FACTOR, np.where(denied, fixed.NEGATION_FACTOR, 1.0))
+            v = np.where(counts, v * factor, v)
+        v = np.where(counts, self._idiomatic(v, ids, hits, ends), v)
+        if not self.scored[self.named["least"]]:
+            v = np.where(is_(p1, "least") & ~is_(p2, "at", "very"), v * fixed.NEGATION_FACTOR, v)
+        degree = self.strong[word] | self.weak[word]
+        return np.where(degree | (is_(word, "kind") & is_(after, "of")), 0.0, v)
+
+    def _idiomatic(self, v: np.ndarray, ids: np.ndarray, hits: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Values after idioms and degree phrases, for words that have three words before them."""
+        room = ends - np.arange(len(ids))
+        if self.idioms.longest:
+            found = self.idioms.found(ids, room)
+            begins = lambda back, length: found[length][np.maximum(hits - back, 0)] if length < len(found) else np.nan
+            own = np.full(len(v), np.nan)
+            for ends_before in (0, 1, 2):
+                for length in range(2, IDIOM_WORDS + 1 - ends_before):
+                    own = np.where(np.isnan(own), begins(ends_before + length - 1, length), own)
+            for length in range(2, IDIOM_WORDS + 1):
+                here = begins(0, length)
+                own = np.where(np.isnan(here), own, here)
+            v = np.where(np.isnan(own), v, own)
+        if self.degrees.longest:
+            found = self.degrees.found(ids, room)
+            for back, length in ((3, 3), (3, 2), (2, 2)):
+                if length < len(found):
+                    step = found[length][np.maximum(hits - back, 0)]
+                    v = np.where(np.isnan(step), v, v + step)
+        return v
+
+
+def described(emoji: DataFrame) -> Callable[[Column], Column]:
+    """M1: a column function that writes out emoji, from a table (emoji, words) of single code points.
+
+    Words follow a space unless the text begins or has one there; only texts that hold an emoji are touched. An emoji of
+    several code points is read code point by code point.
+    """
+    ship(emoji.sparkSession)
+    kept = emoji.filter("char_length(emoji) = 1 AND words IS NOT NULL").groupBy("emoji").agg(F.min("words").alias("words"))
+    if not fits_broadcast(kept):
+        raise ValueError("the emoji table is too large to be held by every task")
+    words = {r.emoji: r.words for r in kept.collect()}
+    if not words:
+        return lambda c: c
+    one = "[" + "".join(f"\\x{{{ord(e):x}}}" for e in sorted(words)) + "]"
+    any_of = re.compile("[" + "".join(map(re.escape, sorted(words))) + "]")
+
+    def write(m: re.Match[str]) -> str:
+        at = m.start()
+        return (" " if at and m.string[at - 1] != " " else "") + words[m[0]]
+
+    @F.arrow_udf("string")
+    def spelled(texts: pa.Array) -> pa.Array:
+        held = pc.fill_null(pc.match_substring_regex(texts, one), False)
+        if not pc.any(held).as_py():
+            return texts
+        changed = pa.array([any_of.sub(write, t) for t in texts.filter(held).to_pylist()], texts.type)
+        return pc.replace_with_mask(texts, held, changed)
+
+    return spelled
+
+
+def compound(
+    lexicon: DataFrame, rules: Rules = Rules(), idioms: DataFrame | None = None, emoji: DataFrame | None = None
+) -> Callable[[Column], Column]:
     """M1: a column function from text to its score in [-1, 1]; null for null or blank text.
 
-    A score depends on its row's text alone: no shuffle, no id, and the same in batch and stream.
+    A score depends on its row's text alone: no shuffle, no id, and the same in batch and stream. Emoticons are tokens of
+    the lexicon. `emoji` (emoji, words) are written out first. `idioms` (phrase, valence) of two to four words and degree
+    phrases among the rules' word lists act where the published scorer looks for them: on a lexicon word with three words
+    before it, the first of which is not in the lexicon. The word takes the value of an idiom that begins at it (the longest),
+    else of one that ends at it, one or two words before it (nearest, then shortest), if that begins at most three words before.
     """
-    valences = _valences(lexicon)
-    rules = Rules(frozenset(rules.strengtheners), frozenset(rules.weakeners), frozenset(rules.negators), rules.contrast)
-
-    @F.pandas_udf("double")
-    def total(words: pd.Series, upper: pd.Series) -> pd.Series:
-        out = []
-        for own, capitals in zip(words, upper, strict=True):
-            if own is None:
-                out.append(None)
-                continue
-            own, capitals = list(own), list(capitals)
-            mixed = 0 < sum(capitals) < len(own)
-            loud = capitals if mixed else [False] * len(own)
-            turn = own.index(rules.contrast) if rules.contrast in own else -1
-            s = 0.0
-            for i, word in enumerate(own):
-                if word in valences:
-                    weight = 1.0 if turn < 0 or i == turn else fixed.CONTRAST_BEFORE if i < turn else fixed.CONTRAST_AFTER
-                    s += weight * _word_value(valences, rules, own, loud, i)
-            out.append(s)
-        return pd.Series(out, dtype="float64")
+    rules = Rules(*(tuple(w.lower() for w in own) for own in (rules.strengtheners, rules.weakeners, rules.negators)), rules.contrast)
+    scorer = Scorer(_valences(lexicon), rules, {} if idioms is None else _valences(idioms, "phrase"))
+    spelled = (lambda c: c) if emoji is None else described(emoji)
+
+    @F.arrow_udf("double")
+    def total(words: pa.Array, upper: pa.Array) -> pa.Array:
+        return pa.array(scorer.sums(words, upper), mask=words.is_null().to_numpy(zero_copy_only=False))
 
     def score(c: Column) -> Column:
+        c = spelled(c)
         words = _words(c)
         s = total(F.transform(words, F.lower), F.transform(words, _is_upper))
         s = s + F.signum(s) * _emphasis(c)
@@ -133,27 +245,27 @@ def compound(lexicon: DataFrame, rules: Rules = Rules()) -> Callable[[Column], C
 def polarity(lexicon: DataFrame) -> Callable[[Column], Column]:
     """M2: a column function to the mean valence of the text's words found in the lexicon, 0 when none is."""
     valences = _valences(lexicon)
+    known, values = pa.array(list(valences), pa.string()), np.array([*valences.values(), 0.0])
 
-    @F.pandas_udf("double")
-    def mean(words: pd.Series) -> pd.Series:
-        def one(own) -> float:
-            total, n = 0.0, 0  # added up plainly: sum() corrects rounding, and a threshold may lie on the mean
-            for w in own:
-                if w in valences:
-                    total, n = total + valences[w], n + 1
-            return total / n if n else 0.0
-
-        return words.map(one).astype("float64")
+    @F.arrow_udf("double")
+    def mean(words: pa.Array) -> pa.Array:
+        flat, starts = _flat(words)
+        ids = pc.fill_null(pc.index_in(flat, value_set=known), len(known)).to_numpy()
+        row = np.repeat(np.arange(len(words)), np.diff(starts))
+        n = np.bincount(row, weights=ids < len(known), minlength=len(words))
+        total = np.bincount(row, weights=values[ids], minlength=len(words))  # added up in order: a threshold may lie on the mean
+        return pa.array(total / np.maximum(n, 1))
 
     return lambda c: mean(text.tokens(F.coalesce(c, F.lit(""))))
 
 
 def compound_scores(
-    docs: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text", rules: Rules = Rules()
+    docs: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text", rules: Rules = Rules(),
+    idioms: DataFrame | None = None, emoji: DataFrame | None = None,
 ) -> DataFrame:
     """M1: (id, compound) for each row with text; null for blank text. Ids may repeat or be null."""
     kept = docs.filter(F.col(text_col).isNotNull())
-    return kept.select(id_col, compound(lexicon, rules)(F.col(text_col)).alias("compound"))
+    return kept.select(id_col, compound(lexicon, rules, idioms, emoji)(F.col(text_col)).alias("compound"))
 
 
 def mean_polarity(

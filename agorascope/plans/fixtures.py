@@ -30,6 +30,24 @@ RULES = Rules(
     contrast="was",
 )
 
+# Phrases of the documents with a valence each, of two to four words.
+IDIOMS = [
+    ("the that", 2.1), ("of that", -1.7), ("the anea", 3.0), ("that the", 1.3), ("und der", -2.2), ("and ornd", 0.8),
+    ("thanedble the anea", -2.6), ("ofretihaou the that", 1.9), ("that edouhe of", -0.9), ("anea eriner thanea", 0.4),
+    ("onlyhe this atshsh erin", 2.7), ("as innd thre", -3.1), ("stering reen with", 1.1), ("er stble the thon", -1.2),
+]
+
+# Signs of the documents that stand for emoji, with their words.
+EMOJI = [("%", "thin mark"), ("&", "thea"), ("|", "not erth bar"), ("$", "orre"), ("*", "star of that thnt")]
+
+# The same classes with degree phrases.
+PHRASE_RULES = Rules(
+    strengtheners=("the", "very", "be", "la", "of the", "and the"),
+    weakeners=("of", "almost", "de", "that", "the the", "to thanedble the"),
+    negators=RULES.negators,
+    contrast=RULES.contrast,
+)
+
 # Stop words of the documents' languages, for the feature queries.
 STOP_WORDS = [
     "the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "on", "with", "be", "as", "by",
@@ -116,6 +134,14 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LEXICON, "token string, valence double")
 
 
+def idioms(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(IDIOMS, "phrase string, valence double")
+
+
+def emoji(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(EMOJI, "emoji string, words string")
+
+
 def three_labels(labels: DataFrame) -> DataFrame:
     """(doc_id, true_label) from the labels table."""
     label = F.when(F.col("toxic") == 1, "neg").when(F.col("quality") == 1, "pos").otherwise("neu")

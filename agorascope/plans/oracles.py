@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from agorascope import fixed
-from agorascope.plans.fixtures import LEXICON, RULES, SOCIAL, STOP_WORDS
+from agorascope.plans.fixtures import EMOJI, IDIOMS, LEXICON, PHRASE_RULES, RULES, SOCIAL, STOP_WORDS
 
 
 def _text(value: str) -> str:
@@ -105,10 +105,37 @@ polarity AS (
 )"""
 
 
-def _compound_cte() -> str:
+def _case(column: str, table, otherwise: str) -> str:
+    """The value of a string in a list of (string, value)."""
+    return f"CASE {column} " + " ".join(f"WHEN {_text(k)} THEN {v}" for k, v in table) + f" ELSE {otherwise} END"
+
+
+def _idiom_step(idioms) -> str:
+    """v, or the value of the idiom that begins at the word, else of the nearest that ends there or before."""
+    back = ("p1||' '||word", "p2||' '||p1||' '||word", "p3||' '||p2||' '||p1||' '||word", "p2||' '||p1", "p3||' '||p2||' '||p1", "p3||' '||p2")
+    ahead = ("word||' '||after||' '||after2||' '||after3", "word||' '||after||' '||after2", "word||' '||after")
+    found = ", ".join(_case(words, idioms, "NULL") for words in (*ahead, *back))
+    return f"CASE WHEN p3 IS NOT NULL AND NOT known3 THEN coalesce({found}, v) ELSE v END"
+
+
+def _degree_steps(rules) -> list[str]:
+    """v with the step of each degree phrase before the word."""
+    steps = [(w, fixed.BOOST) for w in rules.strengtheners if " " in w] + [(w, -fixed.BOOST) for w in rules.weakeners if " " in w]
+    before = ("p3||' '||p2||' '||p1", "p3||' '||p2", "p2||' '||p1")
+    return [f"CASE WHEN p3 IS NOT NULL AND NOT known3 THEN v + ({_case(words, steps, '0')}) ELSE v END" for words in before]
+
+
+def _written(text: str, emoji) -> str:
+    """A text with its signs written out, each after a space unless it begins the text or follows one."""
+    word = _case("c", [(sign, _text(words)) for sign, words in emoji], "NULL")
+    spaced = f"CASE WHEN i = 1 OR chars[i - 1] = ' ' THEN {word} ELSE ' ' || ({word}) END"
+    return f"""array_to_string(list_transform(chars, lambda c, i: coalesce({spaced}, c)), '')"""
+
+
+def _compound_cte(rules=RULES, idioms=(), emoji=()) -> str:
     """The compound score, word by word with window functions."""
-    strong, weak = _listed(RULES.strengtheners), _listed(RULES.weakeners)
-    negators = _listed(RULES.negators)
+    strong, weak = _listed(rules.strengtheners), _listed(rules.weakeners)
+    negators = _listed(rules.negators)
 
     def upper(w: str) -> str:
         return f"(upper({w}) = {w} AND lower({w}) <> {w})"
@@ -146,6 +173,7 @@ def _compound_cte() -> str:
                 WHEN {doubt[k]} THEN v
                 WHEN p{k} IN ({negators}) OR contains(p{k}, 'n''t') THEN v * {fixed.NEGATION_FACTOR} ELSE v END"""
         )
+    steps += ([_idiom_step(idioms)] if idioms else []) + (_degree_steps(rules) if idioms else [])
     steps.append(
         f"""CASE WHEN p1 = 'least' AND NOT known1 AND coalesce(p2 NOT IN ('at', 'very'), true)
             THEN v * {fixed.NEGATION_FACTOR} ELSE v END"""
@@ -159,10 +187,12 @@ def _compound_cte() -> str:
     for step in steps:
         chain = f"(SELECT * REPLACE ({step} AS v) FROM {chain})"
     space = "[" + fixed.WHITESPACE + "]+"
+    source = f"SELECT doc_id, {_written('text', emoji)} AS text FROM (SELECT doc_id, string_split(text, '') AS chars FROM documents)"
     return f"""{LEXICON_CTE},
+source AS ({source if emoji else "SELECT doc_id, text FROM documents"}),
 pieces AS (
   SELECT doc_id, list_filter(regexp_split_to_array(text, {_text(space)}), lambda x: x <> '') AS ws
-  FROM documents
+  FROM source
 ),
 words AS (
   SELECT doc_id, i, CASE WHEN length(trim(raw, {PUNCT})) <= 2 THEN raw ELSE trim(raw, {PUNCT}) END AS w
@@ -170,14 +200,14 @@ words AS (
 ),
 placed AS (
   SELECT *, lower(w) AS word, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2, lag(w, 3) OVER o AS w3,
-         lower(lead(w, 1) OVER o) AS after,
-         min(CASE WHEN lower(w) = {_text(RULES.contrast)} THEN i END) OVER (PARTITION BY doc_id) AS turn,
+         lower(lead(w, 1) OVER o) AS after, lower(lead(w, 2) OVER o) AS after2, lower(lead(w, 3) OVER o) AS after3,
+         min(CASE WHEN lower(w) = {_text(rules.contrast)} THEN i END) OVER (PARTITION BY doc_id) AS turn,
          sum(CASE WHEN {upper('w')} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS n_upper,
          count(*) OVER (PARTITION BY doc_id) AS n_words
   FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ),
 hits AS (
-  SELECT doc_id, i, w, word, w1, w2, w3, lower(w1) AS p1, lower(w2) AS p2, lower(w3) AS p3, after, turn,
+  SELECT doc_id, i, w, word, w1, w2, w3, lower(w1) AS p1, lower(w2) AS p2, lower(w3) AS p3, after, after2, after3, turn,
          n_upper > 0 AND n_upper < n_words AS mixed, valence AS v,
          coalesce(lower(w1) IN (SELECT token FROM lexicon), false) AS known1,
          coalesce(lower(w2) IN (SELECT token FROM lexicon), false) AS known2,
@@ -189,7 +219,7 @@ sums AS (SELECT doc_id, sum(v) AS s FROM {chain} GROUP BY doc_id),
 marks AS (
   SELECT doc_id, text, len(text) - len(replace(text, '!', '')) AS cried,
          len(text) - len(replace(text, '?', '')) AS asked
-  FROM documents
+  FROM source
 ),
 emphatic AS (
   SELECT m.doc_id, m.text, coalesce(s, 0) AS s,
@@ -473,6 +503,8 @@ FROM compounds WHERE length(text) > 0""",
     "lexicon_sentiment_repeated_ids": f"""WITH {COMPOUND_CTE}
 SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN doc_id % 50 END AS id, round(compound, 3) AS sentiment_compound
 FROM compounds WHERE length(text) > 0""",
+    "lexicon_idioms": f"""WITH {_compound_cte(PHRASE_RULES, IDIOMS, EMOJI)}
+SELECT doc_id, compound FROM compounds""",
     "mean_polarity": f"""WITH {POLARITY_CTE}
 SELECT doc_id, round(polarity, 6) + 0.0 AS polarity, {_short_label("polarity", False)} AS label FROM polarity""",
     "sentiment_distribution": f"""WITH {POLARITY_CTE}

@@ -28,8 +28,11 @@ from agorascope.operators import (
 from agorascope.operators.lineage import cut, new_path
 from agorascope.plans import corpus
 from agorascope.plans.fixtures import (
+    PHRASE_RULES,
     RULES,
     STOP_WORDS,
+    emoji,
+    idioms,
     lexicon,
     records,
     social,
@@ -420,6 +423,14 @@ def lexicon_sentiment_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFram
     return scored.select("doc_id", "id", F.round("sentiment_compound", 3).alias("sentiment_compound"))
 
 
+@query
+def lexicon_idioms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: with idioms and degree phrases of two, three and four words, and signs written out as words."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    score = sentiment.compound(lexicon(spark), PHRASE_RULES, idioms(spark), emoji(spark))
+    return docs.select("doc_id", score(F.col("text")).alias("compound"))
+
+
 @query
 def mean_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2, F7."""

@@ -1,9 +1,11 @@
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from agorascope import fixed
 from agorascope.operators import classifier, enrichment, evaluation, features, sentiment, topics, trends
 
 LEXICON = [("good", 1.9), ("bad", -2.5), ("no", -1.2), ("great", 3.1), ("like", 1.5)]
@@ -52,6 +54,95 @@ def test_compound_rules(spark):
     assert got == want
 
 
+def plain_sum(text, valences, rules, idioms):
+    """The rules word by word, one text at a time."""
+    own = [w if len(w.strip(fixed.PUNCTUATION)) <= 2 else w.strip(fixed.PUNCTUATION) for w in text.split()]
+    words = [w.lower() for w in own]
+    loud = [w.isupper() for w in own] if any(w.isupper() for w in own) and not all(w.isupper() for w in own) else [False] * len(own)
+    get = lambda i: words[i] if 0 <= i < len(words) else ""
+    boost = {**dict.fromkeys(rules.weakeners, -fixed.BOOST), **dict.fromkeys(rules.strengtheners, fixed.BOOST)}
+    turn = words.index(rules.contrast) if rules.contrast in words else None
+    total = 0.0
+    for i, w in enumerate(words):
+        if w not in valences:
+            continue
+        v = valences[w]
+        if "no" in (get(i - 1), get(i - 2)) or (get(i - 3) == "no" and get(i - 1) in ("or", "nor")):
+            v *= -0.74
+        elif w == "no" and get(i + 1) in valences:
+            v = 0.0
+        v += (0.733 if v > 0 else -0.733) if loud[i] else 0
+        for k in (1, 2, 3):
+            if i < k or words[i - k] in valences:
+                continue
+            if words[i - k] in boost:
+                step = boost[words[i - k]] * (-1 if v < 0 else 1)
+                step += (0.733 if v > 0 else -0.733) if loud[i - k] else 0
+                v += step * (1, 0.95, 0.9)[k - 1]
+            between = words[i - k + 1 : i]
+            if k > 1 and words[i - k] == "never" and {"so", "this"} & set(between):
+                v *= 1.25
+            elif k > 1 and words[i - k] == "without" and "doubt" in between:
+                pass
+            elif words[i - k] in rules.negators or "n't" in words[i - k]:
+                v *= -0.74
+            if k == 3:
+                spans = [(i - 1, i), (i - 2, i), (i - 3, i), (i - 2, i - 1), (i - 3, i - 1), (i - 3, i - 2)]
+                before = [" ".join(words[a : b + 1]) for a, b in spans]
+                ahead = [" ".join(words[i : i + n]) for n in (4, 3, 2)]
+                v = next((idioms[p] for p in ahead + before if p in idioms), v)
+                v += sum(boost.get(" ".join(words[a : b + 1]), 0) for a, b in ((i - 3, i - 1), (i - 3, i - 2), (i - 2, i - 1)))
+        if get(i - 1) == "least" and get(i - 2) not in ("at", "very"):
+            v *= -0.74
+        if w in boost or (w == "kind" and get(i + 1) == "of"):
+            v = 0.0
+        total += v * (1.0 if turn is None or i == turn else 0.5 if i < turn else 1.5)
+    return total
+
+
+IDIOMS = {"bad good": 1.5, "like bad good": -2.0, "is great like": 0.7, "kiss of like great": 2.2, "great day": 3.0, "great day of good": -1.0}
+
+
+def test_batches_equal_plain_scoring(spark):
+    r = random.Random(11)
+    pool = [w for w, _ in LEXICON] + "very so this never without doubt not isn't least at kind of but or nor day is kiss just enough x GOOD Bad VERY".split()
+    texts = [" ".join(r.choices(pool, k=r.randint(0, 14))) for _ in range(1500)] + ["", " ", "bad good", "is the x bad good", "(good)... great! day"]
+    rules = sentiment.Rules(
+        strengtheners=(*fixed.STRENGTHENERS, "without doubt"), weakeners=(*fixed.WEAKENERS, "kind of", "just enough", "of is kiss")
+    )
+    plain = sentiment.Rules()
+    tables = {"idioms": spark.createDataFrame(list(IDIOMS.items()), "phrase string, valence double"), "rules": rules}
+    for options, own, phrases in (({}, plain, {}), (tables, rules, IDIOMS)):
+        got = scored(spark, texts, **options)
+        for text, value in zip(texts, got, strict=True):
+            s = plain_sum(text, dict(LEXICON), own, phrases)
+            s += np.sign(s) * min(text.count("!"), 4) * 0.292
+            want = round(s / math.sqrt(s * s + 15), 4) if text.strip() else None
+            assert value == pytest.approx(want, abs=1e-4), text
+
+
+def test_idioms_replace_the_value_of_a_word(spark):
+    idioms = spark.createDataFrame([("a bad good", 3.0), ("bad good", 1.5), ("good day out", -2.0), ("bad", 9.0)], "phrase string, valence double")
+    value = lambda s: round(s / math.sqrt(s * s + 15), 4)
+    texts = ["it was x bad good", "it was a bad good", "bad good", "x y z good day out", "x y z good day", "x bad good y z good"]
+    got = scored(spark, texts, idioms=idioms)
+    # In the first two both words are in the idiom; the third has too few words before; in the last the idiom lies too far back.
+    assert got == [value(1.5 + 1.5), value(1.5 + 1.5), value(-0.6), value(-2.0), value(1.9), value(-2.5 + 1.9 + 1.9)]
+    with pytest.raises(ValueError):
+        scored(spark, ["x"], idioms=spark.createDataFrame([("a b c d e", 1.0)], "phrase string, valence double"))
+
+
+def test_emoji_and_emoticons(spark):
+    emoji = spark.createDataFrame([("😀", "good face"), ("💔", "bad heart"), ("❤️", "never read"), ("x", None)], "emoji string, words string")
+    lex = spark.createDataFrame([*LEXICON, (":)", 2.0), ("</3", -3.0)], "token string, valence double")
+    texts = ["😀", "day😀", "day 😀😀", "💔!", "a :) b", "a </3 :)", "❤️", None, "😀good"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    score = sentiment.compound(lex, emoji=emoji)
+    got = [r[1] for r in sorted(docs.select("id", score(F.col("text"))).collect())]
+    value = lambda s: round(s / math.sqrt(s * s + 15), 4)
+    assert got == [value(1.9), value(1.9), value(3.8), value(-2.5 - 0.292), value(2.0), value(-1.0), 0.0, None, value(1.9)]
+
+
 def test_compound_of_absent_text(spark):
     assert scored(spark, [*CASES, None])[-1] == "absent"
 
