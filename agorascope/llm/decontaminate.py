@@ -12,7 +12,8 @@ The words of a batch of texts are searched in parallel lanes: each lane jumps by
 once in numpy. Texts are read where they lie; nothing is shuffled. The benchmark is taken in blocks of `BLOCK_BYTES` of
 text, so that what a task holds stays bounded when it grows; blocks follow one another in one pass over the texts.
 
-Null texts and items have no words and hit nothing. Repeated items count once by id, repeated rows each get their row.
+Null texts and items have no words and hit nothing. Repeated items count once by id (items without one together once, last in
+the list), repeated rows each get their row.
 Empty tables give no rows, an empty benchmark no hits.
 """
 
@@ -78,7 +79,7 @@ def compile_strings(items: list[tuple[int, str]], window: int = WINDOW) -> list[
         size = min(n, window)
         for i in range(n - size + 1):
             found = by_size.setdefault(size, {}).setdefault(b" ".join(parts[i : i + size]), (words.hashes[i : i + size], set()))
-            found[1].add(int(item))
+            found[1].add(item)
     out = []
     for size, strings in sorted(by_size.items()):
         hashes = np.array([h for h, _ in strings.values()], np.uint64).reshape(-1, size)
@@ -149,11 +150,11 @@ def find(words: W.Words, strings: Strings) -> tuple[np.ndarray, np.ndarray]:
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of bounded size."""
     items = benchmark.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    items = items.filter("text IS NOT NULL AND id IS NOT NULL")
+    items = items.filter("text IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-total // BLOCK_BYTES))
     for k in range(n):
-        yield [(r.id, r.text) for r in items.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == k).toLocalIterator()]
+        yield [(r.id, r.text) for r in items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toLocalIterator()]
 
 
 def benchmark_hits(
@@ -211,7 +212,7 @@ def _searched(piece: pa.RecordBatch, column: str, mask: str, tables: list[String
         mask: pa.array(masks, pa.binary()),
         "n_words": pa.array(np.diff(words.first), pa.int64()),
         "n_hit": pa.array(sums[words.first[1:]] - sums[words.first[:-1]], pa.int64()),
-        "items": pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
+        "items": pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.int64())),
     }
     columns = [new.get(name, piece.column(k)) for k, name in enumerate(piece.schema.names)]
     assert rows == len(masks)
