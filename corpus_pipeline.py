@@ -1,7 +1,7 @@
 """A corpus pipeline: five stages, each over all documents that the one before kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of `docs`; the last one adds `copy`.
-Documents without an id pass the first four stages and cannot be taken by the last.
+Ids may repeat or be null: stages that decide on rows number them first, in a written table, so every row has its own fate.
 """
 
 from __future__ import annotations
@@ -12,15 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorascope.llm import decontaminate, jaccard, mixing, substrings, toxicity
+from agorascope.llm.exchange import free_name
 from agorascope.operators.lineage import cut
 
-#: A list of ids is broadcast up to this many; beyond, the documents are shuffled to it.
-BROADCAST_IDS = 1_000_000
+#: A list of rows (16 bytes each) is broadcast up to this many; beyond, the documents are shuffled to it.
+BROADCAST_ROWS = 100_000
 
 
-def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """`docs` joined with a written table of one row an id."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` written with a number of its own for each row, and that column's name."""
+    row = free_name(docs, "row")
+    return cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def _by_row(docs: DataFrame, rows: DataFrame, row: str, how: str) -> DataFrame:
+    """`docs` joined with a written table that has a row once at most."""
+    return docs.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, row, how)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +37,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays, and of rows with one id a single one."""
-    found = cut(jaccard.near_duplicates(docs), "near")
-    gone = cut(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    kept = _by_id(docs, gone, "left_anti")
-    again = cut(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
-    if again.isEmpty():
-        return kept.select(*docs.columns)
-    once = _by_id(kept, again, "left_semi").dropDuplicates(["doc_id"])
-    return _by_id(kept, again, "left_anti").unionByName(once).select(*docs.columns)
+    """Of each group of linked documents the one with the least id stays (a null id only if no other has one)."""
+    numbered, row = _numbered(docs)
+    found = jaccard.near_duplicates(numbered, row).select(row, F.col("component_id").alias("group"))
+    found = cut(found.join(numbered.select(row, "doc_id"), row), "near")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)
+    first = found.groupBy("group").agg(F.min(order).getField(row).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    gone = cut(found.join(first, "group").filter(F.col(row) != F.col("first")).select(row), "gone")
+    return _by_row(numbered, gone, row, "left_anti").select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +61,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (not at all, up to three times), numbered by `copy`."""
-    taken = mixing.mixed(docs).filter("copies > 0 AND id IS NOT NULL")
-    taken = cut(taken.groupBy(F.col("id").alias("doc_id")).agg(F.max("copies").alias("copies")), "taken")
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
-    return _by_id(docs, taken, "inner").select(*docs.columns, copies)
+    numbered, row = _numbered(docs)
+    taken = cut(mixing.mixed(numbered, row).filter("copies > 0").select(F.col("id").alias(row), F.col("copies").cast("int").alias("copies")), "taken")
+    taken = taken.withColumnRenamed("copies", free_name(docs, "copies"))
+    copies = F.explode(F.sequence(F.lit(1), F.col(free_name(docs, "copies")))).alias("copy")
+    return _by_row(numbered, taken, row, "inner").select(*docs.columns, copies)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

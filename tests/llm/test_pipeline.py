@@ -95,4 +95,24 @@ def test_stages_take_odd_rows(spark):
             out = stage(spark, docs, SF_DIR)
             assert out.columns[:5] == docs.columns and out.count() <= 3 * len(some)
             if name == "ngram_jaccard_join" and some:
-                assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "None"]
+                assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "1", "2", "None"]
+
+
+def test_rows_without_an_id_or_of_one_id_stay(spark):
+    """A third of the ids is null and some repeat with other texts: every clean row passes, and enters the mix."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    clean = [(None if i % 3 == 0 else i // 4, text(i), "en", "ab"[i % 2], 1) for i in range(60)]
+    near = [(None, text(0) + " more", "en", "a", 1), (7, text(1), "fr", "b", 1), (None, text(2), "fr", "b", 1)]
+    rows = clean + near
+    stage = dict(corpus_pipeline.STAGES)
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    out = stage["ngram_jaccard_join"](spark, docs, SF_DIR).collect()
+    assert sorted(map(str, out)) == sorted(map(str, spark.createDataFrame(clean, schema).collect()))
+    for name in ("toxicity", "substring_dedup", "benchmark_decontamination"):
+        kept = stage[name](spark, spark.createDataFrame(clean, schema), SF_DIR)
+        assert sorted(map(str, kept.collect())) == sorted(map(str, spark.createDataFrame([(*r[:4], len(r[1]) if name == "substring_dedup" else 1) for r in clean], schema).collect()))
+    mixed = stage["source_mixing"](spark, spark.createDataFrame(clean, schema), SF_DIR).collect()
+    taken = {s: sum(12 for r in mixed if r.source == s) for s in "ab"}
+    assert abs(taken["a"] - 720 * 5 / 7) <= 12 and abs(taken["b"] - 720 * 2 / 7) <= 12
+    assert any(r.doc_id is None for r in mixed)
