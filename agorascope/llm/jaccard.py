@@ -277,12 +277,14 @@ def linked_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.cut(pairs)
         found = scratch.cut(_verified(pairs, sets, percent))
-        links = links.unionByName(found)
+        if labels is not None:  # what was linked before enters as one link a set
+            links = labels.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        if labels is None or not found.isEmpty():
+            labels = components(links.unionByName(found))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        scratch.release(now, open_blocks)
+        scratch.release(now, open_blocks, found)
         if last:
-            return components(links)
-        labels = components(links)
+            return labels
         turn += 1
 
 

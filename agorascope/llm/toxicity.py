@@ -145,6 +145,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     counts = [np.frombuffer(x.as_py(), np.int32) for x in table["counts"]]
     owner = np.repeat(np.arange(len(keys)), [len(x) for x in keys]) if keys else np.zeros(0, np.int64)
     flat, many = (np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+    example_ids = table["id"].to_numpy().copy() if table.num_rows else np.zeros(0, np.int64)
+    del table, keys, counts
+    pa.default_memory_pool().release_unused()
     learnable = len(y) and 0 < y.sum() < len(y)
     vocabulary = _select(owner, flat, y) if learnable else np.zeros(0, np.uint64)
     idf = _idf(docs, text_column, vocabulary)
@@ -166,14 +169,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         grid[:, :-1] = starts[:-1].reshape(-1, blocks)
         grid[:, -1] = starts[blocks::blocks]
     share = L.prior(labels, id_column, label_column)
-    index = Index(vocabulary, idf, table["id"].to_numpy() if table.num_rows else np.zeros(0, np.int64), y, grid, owner, weights,
+    index = Index(vocabulary, idf, example_ids, y, grid, owner, weights,
                   maxima.reshape(len(vocabulary), blocks), np.array([0.0, 0, 0, np.log(share / (1 - share))]))
     if learnable:
-        rows: list[tuple[list, list]] = [([], []) for _ in y]
-        for t, o, w in zip(at.tolist(), owner.tolist(), weights.tolist(), strict=True):
-            rows[o][0].append(t)
-            rows[o][1].append(w)
-        votes = np.array([index.votes(*index.nearest(np.array(t, np.int64), np.array(w), NEAREST, skip=i)) for i, (t, w) in enumerate(rows)])
+        by_owner = np.argsort(owner, kind="stable")
+        cut = np.searchsorted(owner[by_owner], np.arange(len(y) + 1))
+        own = [by_owner[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        votes = np.array([index.votes(*index.nearest(at[o], weights[o], NEAREST, skip=i)) for i, o in enumerate(own)])
         fitted = L.fit_logistic(votes, y)
         fitted[-1] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
         index.calibration = fitted
