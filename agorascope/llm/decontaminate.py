@@ -44,7 +44,7 @@ class Strings:
     size: int
     hashes: np.ndarray
     texts: list[bytes]
-    items: list[list[int]]
+    items: list[list[int | None]]
     shift: np.ndarray
     order: np.ndarray
     keys: np.ndarray
@@ -66,9 +66,13 @@ def _bucket_key(last: np.ndarray, first: np.ndarray) -> np.ndarray:
     return W.mix(last ^ W.mix(first))
 
 
-def compile_strings(items: list[tuple[int, str]], window: int = WINDOW) -> list[Strings]:
+def _ordered(items: set[int | None]) -> list[int | None]:
+    return sorted(items, key=lambda i: (i is None, i))
+
+
+def compile_strings(items: list[tuple[int | None, str]], window: int = WINDOW) -> list[Strings]:
     """The tables of all strings of these items, by length."""
-    by_size: dict[int, dict[bytes, tuple[np.ndarray, set[int]]]] = {}
+    by_size: dict[int, dict[bytes, tuple[np.ndarray, set[int | None]]]] = {}
     for item, text in items:
         raw = (text or "").encode()
         words = W.split(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), W.ALNUM, lower=True)
@@ -92,7 +96,7 @@ def compile_strings(items: list[tuple[int, str]], window: int = WINDOW) -> list[
             _block_hash(hashes.T, np.array([size - 1]), block)[0], _block_hash(hashes.T, np.array([block - 1]), block)[0]
         )
         order = np.argsort(keys, kind="stable")
-        out.append(Strings(size, hashes, list(strings), [sorted(x) for _, x in strings.values()], shift, order, keys[order]))
+        out.append(Strings(size, hashes, list(strings), [_ordered(x) for _, x in strings.values()], shift, order, keys[order]))
     return out
 
 
@@ -212,7 +216,7 @@ def _searched(piece: pa.RecordBatch, column: str, mask: str, tables: list[String
         mask: pa.array(masks, pa.binary()),
         "n_words": pa.array(np.diff(words.first), pa.int64()),
         "n_hit": pa.array(sums[words.first[1:]] - sums[words.first[:-1]], pa.int64()),
-        "items": pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.int64())),
+        "items": pa.array([_ordered(x) for x in items], pa.list_(pa.int64())),
     }
     columns = [new.get(name, piece.column(k)) for k, name in enumerate(piece.schema.names)]
     assert rows == len(masks)
