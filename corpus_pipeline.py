@@ -1,7 +1,8 @@
 """A corpus pipeline: five stages, each over all documents that the one before kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of `docs`; the last one adds `copy`.
-Ids may repeat or be null: stages that decide on rows number them first, in a written table, so every row has its own fate.
+Ids may repeat or be null: stages that decide on rows then number them first, in a written table, so every row has its own
+fate.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from agorascope.llm.exchange import free_name
 from agorascope.operators.lineage import cut
 
 #: A list of rows (16 bytes each) is broadcast up to this many; beyond, the documents are shuffled to it.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 1_000_000
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """`docs` written with a number of its own for each row, and that column's name."""
+    """`docs` and the column that tells its rows apart: `doc_id`, or where ids are null or repeat a number, written with them."""
+    if docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").isEmpty():
+        return docs, "doc_id"
     row = free_name(docs, "row")
     return cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
@@ -40,8 +43,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of linked documents the one with the least id stays (a null id only if no other has one)."""
     numbered, row = _numbered(docs)
     found = jaccard.near_duplicates(numbered, row).select(row, F.col("component_id").alias("group"))
-    found = cut(found.join(numbered.select(row, "doc_id"), row), "near")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)
+    found = cut(found.join(numbered.select(row, F.col("doc_id").alias("own")), row), "near")
+    order = F.struct(F.col("own").isNull().alias("none"), "own", row)
     first = found.groupBy("group").agg(F.min(order).getField(row).alias("first"), F.count("*").alias("n")).filter("n > 1")
     gone = cut(found.join(first, "group").filter(F.col(row) != F.col("first")).select(row), "gone")
     return _by_row(numbered, gone, row, "left_anti").select(*docs.columns)
