@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from agorascope import schemas
 from agorascope.functions.text import strip
 from agorascope.operators.rows import first_per_key
+from agorascope.sources import utf16
 
 
 def read_table(
@@ -32,19 +33,13 @@ def balanced(table: DataFrame, key: str) -> DataFrame:
     return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-16") -> DataFrame:
-    """One JSON object per line, blank lines skipped.
-
-    UTF-8 is split within files. UTF-16 cannot be cut at a line end without decoding, so one task
-    reads one file; exports should be cut into many files.
-    """
-    if encoding.upper() in ("UTF-8", "UTF8"):
-        lines = spark.read.text(path).select(strip(F.col("value")).alias("line"))
-    else:
-        files = spark.read.format("binaryFile").load(path)
-        content = F.decode("content", encoding)
-        lines = files.select(F.explode(F.split(content, "\r\n|\r|\n")).alias("line"))
-        lines = lines.select(strip(F.col("line")).alias("line"))
+def read_jsonl(
+    spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-16", range_bytes: int = utf16.RANGE
+) -> DataFrame:
+    """One JSON object per line, blank lines skipped. Files are split among tasks in either encoding."""
+    utf8 = encoding.upper() in ("UTF-8", "UTF8")
+    source = spark.read.text(path) if utf8 else utf16.read_lines(spark, path, encoding, range_bytes)
+    lines = source.select(strip(F.col("value")).alias("line"))
     parsed = lines.filter("line <> ''").select(F.from_json("line", schema).alias("data"))
     return parsed.select("data.*")
 
@@ -104,6 +99,19 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def batch_numbers(spark: SparkSession, path: str) -> list[int]:
+    """The batches of a table that were written to their end."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
 def newest(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """T4: the row of the latest batch for each key (merge on read)."""
     return first_per_key(batches, keys, [F.desc("batch_id")]).drop("batch_id")
