@@ -125,7 +125,8 @@ def betweenness(
     small = fits_broadcast(links)
     hot = None if small else cut(hot_keys(links, ["node"]), "hot")
     batch = batch or max(1, STATE_ROWS // max(n, links.count()))
-    chosen = nodes.orderBy(seeded_key("node", seed), "node").limit(k).select(F.col("id").alias("pivot"))
+    drawn = nodes if k == n else nodes.orderBy(seeded_key("node", seed), "node").limit(k)
+    chosen = drawn.select(F.col("id").alias("pivot"))
     chosen = cut(with_row_index(chosen, [F.asc("pivot")], "turn"), "pivots")
     scratch = Scratch(edges.sparkSession, "betweenness")
     parts = None
@@ -144,7 +145,10 @@ def betweenness(
 
 
 def graph_metrics(edges: DataFrame, pivots: int | None = None, seed: int = 42, batch: int | None = None) -> DataFrame:
-    """Degrees and betweenness per node, largest total degree first."""
+    """Degrees and betweenness per node, largest total degree first.
+
+    Without `pivots` betweenness is exact, which takes work with the square of the nodes: name a number for a large graph.
+    """
     between = betweenness(edges, pivots, seed, batch)
     return (
         weighted_degrees(edges)

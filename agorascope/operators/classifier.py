@@ -32,7 +32,7 @@ VERSION = "tfidf_logreg_v1"
 
 
 def _feature_stages(terms: Sequence[str], idf: Sequence[float], stop_words: Sequence[str]) -> list:
-    """The same features as `features.vectors`, as stages that work row by row and can be saved."""
+    """The same features as `features.weigher`, as stages that work row by row and can be saved."""
     return [
         RegexTokenizer(inputCol=INPUT, outputCol="_tokens", pattern=fixed.TOKEN_PATTERN, gaps=False),
         StopWordsRemover(

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agorascope.functions import text
 from agorascope.operators.lineage import cut
-from agorascope.operators.skew import lookup_join
+from agorascope.session import ship
 
 
 def with_terms(
@@ -76,23 +79,32 @@ def vocabulary(counts: DataFrame, docs: int, max_features: int, min_df: int = 1)
     return cut(top.select(number.alias("term_id"), "term", "df", "cf", idf.alias("idf")), "vocabulary")
 
 
-def vectors(counts: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
-    """(id, features): per document an array of (term_id, term, weight) with unit L2 norm.
+def weigher(vocab: DataFrame) -> Callable[[Column], Column]:
+    """A column function from a row's terms to its features: an array of (term_id, term, weight) with unit L2 norm.
 
-    `vocab` has at most max_features rows and is broadcast if its terms are short enough; the one
-    shuffle then brings a document's own terms together.
+    The vocabulary is a model of at most max_features terms, which every task holds: a row's weights need its own terms
+    only, so nothing is shuffled and rows of one id stay apart.
     """
-    known = lookup_join(counts, vocab.select("term_id", "term", "idf"), ["term"])
-    weighted = known.withColumn("weight", F.col("n") * F.col("idf"))
-    grouped = weighted.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("term_id", "term", "weight"))).alias("_f")
-    )
-    norm = F.sqrt(F.aggregate("_f", F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
-    scaled = F.transform(
-        "_f",
-        lambda x: F.struct(x["term_id"], x["term"], (x["weight"] / F.col("_norm")).alias("weight")),
-    )
-    return grouped.withColumn("_norm", norm).select(id_col, scaled.alias("features"))
+    ship(vocab.sparkSession)
+    rows = vocab.select("term", "idf").orderBy("term_id").toArrow()
+    names, idf = rows["term"].combine_chunks(), rows["idf"].to_numpy()
+    size = max(1, len(names))
+
+    @F.arrow_udf("array<struct<term_id:int,term:string,weight:double>>")
+    def weigh(terms: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
+        ids = pc.fill_null(pc.index_in(terms.flatten(), value_set=names), -1).to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(terms)), lengths)
+        cells, n = np.unique((row * size + ids)[ids >= 0], return_counts=True)
+        row, ids = cells // size, cells % size
+        weight = n * idf[ids] if len(ids) else np.zeros(0)
+        norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(terms)))
+        out = pa.StructArray.from_arrays(
+            [pa.array(ids.astype(np.int32)), names.take(pa.array(ids)), pa.array(weight / norm[row])], ["term_id", "term", "weight"]
+        )
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(terms) + 1)).astype(np.int32)), out)
+
+    return weigh
 
 
 def tfidf(
@@ -104,15 +116,11 @@ def tfidf(
     min_df: int = 2,
     ngrams: int = 2,
 ) -> tuple[DataFrame, DataFrame]:
-    """M4: (vectors, vocabulary)."""
+    """M4: (vectors, vocabulary): `id_col` and features of each row, empty without a term of the vocabulary."""
     counts = term_counts(docs, id_col, text_col, stop_words, ngrams)
     vocab = vocabulary(counts, docs.count(), max_features, min_df)
-    known = vectors(counts, vocab, id_col)
-    # Documents without a term of the vocabulary have an empty vector.
-    ids = docs.select(id_col).distinct().alias("d")
-    every = ids.join(known.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col(f"k.{id_col}")), "left")
-    none = F.array().cast(known.schema["features"].dataType)
-    return every.select(f"d.{id_col}", F.coalesce("k.features", none).alias("features")), vocab
+    found = with_terms(docs.select(id_col, text_col), text_col, stop_words, ngrams, "_t")
+    return found.select(id_col, weigher(vocab)(F.col("_t")).alias("features")), vocab
 
 
 def top_terms(features: DataFrame, id_col: str, k: int = 5) -> DataFrame:

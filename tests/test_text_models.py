@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,6 +249,15 @@ def test_tfidf_equals_plain_code(spark, top, min_df):
     assert terms == sorted(terms) and len(terms) <= top
 
 
+def test_rows_of_one_id_have_vectors_of_their_own(spark):
+    rows = [(1, "sun sky"), (1, "goal ball"), (None, "sun ball"), (None, None), (2, "sun sky")]
+    docs = spark.createDataFrame(rows, "id int, text string")
+    vectors, _ = features.tfidf(docs, "id", "text", (), 50, 1, 1)
+    got = sorted((str(r["id"]), tuple(x["term"] for x in r["features"])) for r in vectors.collect())
+    assert got == [("1", ("ball", "goal")), ("1", ("sky", "sun")), ("2", ("sky", "sun")), ("None", ()), ("None", ("ball", "sun"))]
+    assert "Exchange" not in vectors._jdf.queryExecution().executedPlan().toString()
+
+
 def themed(spark, n=60):
     words = [["sun", "sky", "cloud", "rain"], ["goal", "team", "match", "ball"], ["code", "data", "query", "table"]]
     dice = np.random.default_rng(1)
@@ -268,6 +278,48 @@ def test_nmf_recovers_themes(spark):
     assert all(len(r["keywords"]) == 4 and len(r["examples"]) == 2 for r in report) and len(report) == 3
 
 
+def test_singular_vectors(spark):
+    docs = themed(spark)
+    matrix = topics.factorise(docs, "id", "text", k=2, rounds=1).matrix
+    rows = matrix.collect()
+    dense = np.zeros((len(rows), 1 + max(max(r.term_ids) for r in rows)))
+    for i, r in enumerate(rows):
+        dense[i, r.term_ids] = r.weights
+    values, vectors = topics.singular_vectors(matrix, dense.shape[1], 3)
+    _, want, vt = np.linalg.svd(dense)
+    assert values == pytest.approx(want[:3], rel=1e-4)
+    assert np.abs(np.sum(vectors * vt[:3].T, axis=0)) == pytest.approx(np.ones(3), rel=1e-2)
+
+
+def test_start_from_singular_vectors_is_as_good_as_the_best_of_five(spark):
+    docs = themed(spark, 90)
+    fitted = topics.factorise(docs, "id", "text", k=4, rounds=20)
+    best = min(topics.factorise(docs, "id", "text", k=4, rounds=20, seed=i, start="random").losses[-1] for i in range(5))
+    assert fitted.losses[-1] <= best * (1 + 1e-3)
+
+
+def test_loss_and_top_terms_from_the_model_in_sql(spark):
+    import duckdb
+
+    docs = themed(spark)
+    fitted = topics.factorise(docs, "id", "text", k=3, rounds=8)
+    con = duckdb.connect()
+    tables = {
+        "x": fitted.matrix.select("id", F.explode(F.arrays_zip("term_ids", "weights")).alias("e")).select("id", F.col("e.term_ids").alias("t"), F.col("e.weights").alias("v")),
+        "w": topics.document_topics(fitted, "id"),
+        "v": fitted.vocabulary.select("term_id", "term"),
+    }
+    for name, table in tables.items():
+        con.register(name, table.toArrow())
+    con.register("h", pa.table({"k": np.repeat(np.arange(3), fitted.weights.shape[1]), "t": np.tile(np.arange(fitted.weights.shape[1]), 3), "h": fitted.weights.ravel()}))
+    loss = con.execute("""
+        SELECT sum((coalesce(v, 0) - coalesce(f, 0)) ** 2) FROM x FULL JOIN (
+          SELECT id, t, sum(weight * h) AS f FROM w JOIN h ON h.k = w.topic_id GROUP BY id, t) p USING (id, t)""").fetchone()[0]
+    assert loss <= fitted.losses[-1] + 1e-9 and loss == pytest.approx(fitted.losses[-1], rel=1e-2)
+    want = con.execute("SELECT k, term FROM h JOIN v ON term_id = t QUALIFY row_number() OVER (PARTITION BY k ORDER BY h DESC, term) <= 4 ORDER BY k, h DESC, term").fetchall()
+    assert [(r.topic_id, r.term) for r in topics.topic_terms(fitted, 4).orderBy("topic_id", "rank").collect()] == want
+
+
 def test_classifier(spark, tmp_path):
     docs = themed(spark)
     model = classifier.train(docs, "text", "label", max_features=50)
@@ -284,6 +336,48 @@ def test_classifier(spark, tmp_path):
         assert (rows[empty]["label"], rows[empty]["note"], rows[empty]["proba"]) == ("neu", "empty_text", None)
 
 
+def test_probabilities_from_the_coefficients_in_sql(spark):
+    """Softmax of the returned coefficients over features that DuckDB builds from the texts."""
+    import duckdb
+
+    docs = themed(spark)
+    model = classifier.train(docs, "text", "label", max_features=60, max_iter=30)
+    got = {(r["id"], k): p for r in classifier.predict(docs, model).collect() for k, p in r["sentiment"]["proba"].items()}
+    by_kind = {type(stage).__name__: stage for stage in model.stages}
+    terms, idf = by_kind["CountVectorizerModel"].vocabulary, by_kind["ElementwiseProduct"].getScalingVec().toArray()
+    fitted = by_kind["LogisticRegressionModel"]
+    labels = classifier.class_labels(model)
+    con = duckdb.connect()
+    con.register("docs", docs.toArrow())
+    con.register("vocab", pa.table({"term": terms, "idf": idf}))
+    weights = fitted.coefficientMatrix.toArray()
+    con.register("coef", pa.table({"label": np.repeat(labels, len(terms)), "term": list(terms) * len(labels), "b": weights.ravel()}))
+    con.register("base", pa.table({"label": labels, "b0": fitted.interceptVector.toArray()}))
+    want = con.execute(f"""
+        WITH ws AS (SELECT id, regexp_extract_all(lower(text), '{fixed.TOKEN_PATTERN}') AS w FROM docs),
+        found AS (SELECT id, unnest(w) AS term FROM ws UNION ALL
+                  SELECT id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM ws),
+        tf AS (SELECT id, term, count(*) * any_value(idf) AS x FROM found JOIN vocab USING (term) GROUP BY id, term),
+        unit AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM tf),
+        raw AS (SELECT id, label, any_value(b0) + sum(x * b) AS z FROM unit JOIN coef USING (term) JOIN base USING (label) GROUP BY id, label)
+        SELECT id, label, exp(z) / sum(exp(z)) OVER (PARTITION BY id) FROM raw""").fetchall()
+    assert len(want) == len(got) == 180
+    for i, label, p in want:
+        assert got[i, label] == pytest.approx(p, abs=1e-9)
+
+
+def test_three_models_in_one_report(spark):
+    docs = themed(spark).withColumn("true_label", F.when(F.col("label") == "a", "pos").when(F.col("label") == "b", "neg").otherwise("neu"))
+    lex = spark.createDataFrame([("sun", 2.0), ("goal", -2.0)], "token string, valence double")
+    model = classifier.train(docs, "text", "true_label", max_features=60)
+    judged = classifier.predict(docs, model).withColumn("tfidf_logreg", F.col("sentiment.label"))
+    weak = sentiment.weak_labels(docs, lex, id_col="id").select("id", F.col("compound_label").alias("compound"), F.col("polarity_label").alias("polarity"))
+    pairs = evaluation.stack_predictions(judged.join(weak, "id"), "true_label", ["compound", "polarity", "tfidf_logreg"])
+    report = {(r["model"], r["label"]): r for r in evaluation.classification_report(pairs).collect()}
+    assert {m for m, _ in report} == {"compound", "polarity", "tfidf_logreg"}
+    assert report["tfidf_logreg", "accuracy"]["f1"] == 1.0 and report["compound", "accuracy"]["f1"] > 0.8
+
+
 def test_classifier_features_equal_the_long_form(spark):
     docs = themed(spark, 12)
     model = classifier.train(docs, "text", "label", max_features=20, max_iter=5)
