@@ -16,7 +16,7 @@ from agorascope.operators.rows import top_k, with_row_index
 from agorascope.operators.skew import fits_broadcast, hot_keys, join_ends, spread_join
 
 MIN_GAIN = 1e-7  # of one move, in edge weight
-TOLERANCE = 1e-4  # of one round, in modularity
+TOLERANCE = 1e-7  # of a level, or of one round, in modularity
 IDLE_ROUNDS = 4
 
 
@@ -48,10 +48,11 @@ def _nodes(level: Level) -> DataFrame:
     return outer.unionByName(own).groupBy("node").agg(F.sum("inner").alias("inner"), F.sum("k").alias("k"))
 
 
-def _move(
-    scratch: Scratch, both: DataFrame, labels: DataFrame, two_m: float, turn: int, hot: DataFrame | None, small: bool
-) -> DataFrame:
-    """Labels after one round. `own` is the label before it, `own_w` the weight to others with that label."""
+def _wishes(scratch: Scratch, both: DataFrame, labels: DataFrame, two_m: float, hot: DataFrame | None, small: bool) -> DataFrame:
+    """(node, inner, k, own, own_w, wish): the community of largest gain for each node, `own` where none gains.
+
+    `own` is its label, `own_w` the weight to others with that label.
+    """
     totals = labels.groupBy(F.col("community").alias("target")).agg(F.sum("k").alias("total"))
     here = labels.select("node", F.col("community").alias("own"), "k", "inner")
     there = labels.select(F.col("node").alias("next"), F.col("community").alias("target"))
@@ -78,27 +79,66 @@ def _move(
         F.max(F.when(stays, gain)).alias("own_gain"),
         F.max(F.when(stays, F.col("w"))).alias("own_w"),
     )
-    chance = F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == turn % 2
-    goes = chance & (F.col("best.gain") - F.col("own_gain") > MIN_GAIN)
-    chosen = F.when(goes, -F.col("best.minus")).otherwise(F.col("own"))
-    return best.select("node", "inner", "k", "own", "own_w", chosen.alias("community"))
+    wish = F.when(F.col("best.gain") - F.col("own_gain") > MIN_GAIN, -F.col("best.minus")).otherwise(F.col("own"))
+    return scratch.cut(best.select("node", "inner", "k", "own", "own_w", wish.alias("wish")))
+
 
+def _granted(wishes: DataFrame, both: DataFrame, turn: int, hot: DataFrame | None, small: bool) -> DataFrame:
+    """(node, k, inner, community): wishes come true for nodes whose priority beats that of all neighbours who wish too.
 
-def _quality(after: DataFrame, two_m: float) -> float:
-    """Modularity of the labels before a round, from what the round summed up."""
-    sums = after.groupBy("own").agg(
+    The priority is a hash that differs from round to round, so no two neighbours move at once (Luby 1986).
+    """
+    asking = wishes.filter("wish <> own").select("node", F.xxhash64("node", F.lit(turn)).alias("rank"))
+    mine = asking.select("node", F.struct("rank", "node").alias("mine"))
+    other = asking.select(F.col("node").alias("next"), F.struct("rank", F.col("node").alias("node")).alias("other"))
+    rivals = _attach(_attach(both.select("node", "next"), mine, "node", hot, small), other, "next", hot, small)
+    beaten = rivals.filter("other > mine").select("node").distinct().withColumn("beaten", F.lit(True))
+    moves = F.when(F.col("beaten").isNull(), F.col("wish")).otherwise(F.col("own"))
+    return wishes.join(beaten, "node", "left").select("node", "k", "inner", moves.alias("community"))
+
+
+def _quality(wishes: DataFrame, two_m: float) -> float:
+    """Modularity of the labels that wishes were made from."""
+    sums = wishes.groupBy("own").agg(
         F.sum(F.col("own_w") + 2 * F.col("inner")).alias("inside"), F.sum("k").alias("total")
     )
     inside, squares = sums.agg(F.sum("inside"), F.sum(F.col("total") * F.col("total"))).first()
     return inside / two_m - squares / (two_m * two_m)
 
 
+def _connected(scratch: Scratch, both: DataFrame, labels: DataFrame, hot: DataFrame | None, small: bool) -> DataFrame:
+    """Labels where each community is in one piece: of a community in several, each becomes one, named by its least node.
+
+    Least numbers spread along the links inside communities; following a piece's number to that node's own halves the way.
+    """
+    mine, other = labels.select("node", F.col("community").alias("c1")), labels.select(F.col("node").alias("next"), F.col("community").alias("c2"))
+    inside = _attach(_attach(both.select("node", "next"), mine, "node", hot, small), other, "next", hot, small)
+    inside = scratch.cut(inside.filter("c1 = c2").select("node", "next"))
+    now = scratch.cut(labels.select("node", F.col("node").alias("piece")))
+    while True:
+        told = _attach(inside, now.select(F.col("node").alias("next"), "piece"), "next", hot, small)
+        least = told.unionByName(now.select("node", F.col("node").alias("next"), "piece").select(told.columns))
+        least = scratch.cut(least.groupBy("node").agg(F.min("piece").alias("near")))
+        far = least.select(F.col("node").alias("near"), F.col("near").alias("far"))
+        hopped = least.join(F.broadcast(far) if small else far, "near").select("node", F.least("near", "far").alias("piece"))
+        after = scratch.cut(hopped)
+        same = after.join(now.withColumnRenamed("piece", "before"), "node").filter("piece <> before").isEmpty()
+        scratch.release(now, least)
+        now = after
+        if same:
+            break
+    found = labels.drop("community").join(now.withColumnRenamed("piece", "community"), "node")
+    scratch.release(inside)
+    return scratch.cut(found)
+
+
 def _local_moves(scratch: Scratch, level: Level) -> tuple[DataFrame, bool]:
-    """Nodes move to the neighbouring community of largest gain, half of them per round.
+    """Nodes move to the neighbouring community of largest gain until none gains.
 
-    Labels that turn out worse are dropped, and the next round moves other nodes from the labels
-    before. Ends when `IDLE_ROUNDS` rounds one after another, each with other nodes, gain nothing. Returns
-    the best labels, and whether they are better than single nodes.
+    Two nodes that are no neighbours may still join one community in a round and gain less than each expected; labels that
+    turn out worse are dropped, and the next round draws other nodes. Ends when no node wishes to move, or when
+    `IDLE_ROUNDS` rounds one after another gain nothing. Returns the best labels, each community in one piece, and
+    whether they are better than single nodes.
     """
     forward = level.pairs.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
     backward = level.pairs.select(F.col("dst").alias("node"), F.col("src").alias("next"), "weight")
@@ -106,20 +146,24 @@ def _local_moves(scratch: Scratch, level: Level) -> tuple[DataFrame, bool]:
     labels = scratch.cut(_nodes(level).withColumn("community", F.col("node")))
     small = fits_broadcast(labels)
     hot = None if small else scratch.cut(hot_keys(both, ["node"]))
-    kept, first, best, idle = labels, None, None, 0
+    wishes = _wishes(scratch, both, labels, level.two_m, hot, small)
+    first = best = _quality(wishes, level.two_m)
+    idle = 0
     for turn in itertools.count():  # each round that is not idle gains at least TOLERANCE of at most 1
-        after = scratch.cut(_move(scratch, both, labels, level.two_m, turn, hot, small))
-        q = _quality(after, level.two_m)
-        first = q if first is None else first
-        idle = 0 if best is None or q > best + TOLERANCE else idle + 1
-        if best is None or q >= best:
-            kept, best = labels, q
-            labels = after
-        else:
-            labels = kept
-        if idle == IDLE_ROUNDS:
+        if idle == IDLE_ROUNDS or wishes.filter("wish <> own").isEmpty():
             break
-    return kept, best - first > TOLERANCE
+        moved = scratch.cut(_granted(wishes, both, turn, hot, small))
+        after = _wishes(scratch, both, moved, level.two_m, hot, small)
+        q = _quality(after, level.two_m)
+        idle = 0 if q > best + TOLERANCE else idle + 1
+        if q < best:
+            scratch.release(after, moved)
+            continue
+        scratch.release(wishes, labels)
+        wishes, labels, best = after, moved, q
+    if best - first <= TOLERANCE:
+        return labels, False
+    return _connected(scratch, both, labels, hot, small), True
 
 
 def _contract(scratch: Scratch, level: Level, labels: DataFrame) -> Level:
@@ -138,9 +182,10 @@ def _contract(scratch: Scratch, level: Level, labels: DataFrame) -> Level:
 def louvain(edges: DataFrame) -> DataFrame:
     """(node, community), communities numbered from 0 by size, then by smallest member name.
 
-    Blondel et al. 2008 with moves made in parallel: in every round half of the nodes, chosen by a
-    hash, take the community of largest gain; ties keep the node where it is, then prefer the
-    smallest number. Levels are added until one gains nothing.
+    Blondel et al. 2008 with moves made in parallel: in every round an independent set of the nodes that gain by it, drawn by
+    hash priority, take the community of largest gain; ties keep the node where it is, then prefer the smallest number.
+    After a level's moves, communities that have come apart are split into their pieces, which never lowers modularity (Traag
+    et al. 2019). Levels are added until one gains nothing.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "louvain")

@@ -339,6 +339,37 @@ marked AS (
   FROM seeds JOIN partition USING (node) LEFT JOIN inner_degrees USING (node)
 )"""
 
+_TURNS = """
+sized AS (
+  SELECT conv_id, count(*) AS size, min(concat('c', conv_id, '_', turn)) AS first FROM conversations GROUP BY conv_id HAVING count(*) > 1
+),
+numbered AS (
+  SELECT conv_id, size, CAST(row_number() OVER (ORDER BY size DESC, first) - 1 AS INT) AS community FROM sized
+)"""
+
+_TFIDF = f"""kept AS (
+  SELECT doc_id, list_filter(regexp_extract_all(lower(text), '{fixed.TOKEN_PATTERN}'),
+                             lambda w: w NOT IN ({_STOP})) AS ws
+  FROM documents
+),
+terms AS (
+  SELECT doc_id, unnest(ws) AS term FROM kept
+  UNION ALL
+  SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda i: concat(ws[i], ' ', ws[i + 1]))) FROM kept
+),
+counts AS (SELECT doc_id, term, count(*) AS n FROM terms GROUP BY ALL),
+vocab AS (
+  SELECT term, count(*) AS df, sum(n) AS cf FROM counts GROUP BY term HAVING count(*) >= 2
+  ORDER BY cf DESC, term LIMIT 20000
+),
+size AS (SELECT count(*) AS n FROM documents),
+weights AS (
+  SELECT doc_id, term, c.n * (ln((1.0 + size.n) / (1.0 + df)) + 1.0) AS w
+  FROM counts c JOIN vocab USING (term) CROSS JOIN size
+),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weights GROUP BY doc_id),
+scaled AS (SELECT doc_id, term, w / norm AS w FROM weights JOIN norms USING (doc_id))"""
+
 ORACLES: dict[str, str] = {
     "json_roundtrip_parse": f"""WITH {MESSAGES_CTE}
 SELECT topic, kafka_ts, make_timestamp(CAST(seconds * 1000000 AS BIGINT)) AS event_ts,
@@ -453,9 +484,14 @@ SELECT kind, channel, max(last) AS last_created_utc, CAST(sum(n) AS BIGINT) AS n
   UNION ALL SELECT kind, channel, max(created_utc), count(*) FROM fresh GROUP BY kind, channel)
 GROUP BY kind, channel""",
     "reply_edges": f"WITH {EDGES_CTE} SELECT * FROM edges WHERE edge_type = 'reply'",
+    "stream_reply_edges": f"""WITH {EDGES_CTE}
+SELECT src, dst, edge_type, weight, date_trunc('second', first_seen) + INTERVAL 500 MILLISECOND AS first_seen,
+       date_trunc('second', last_seen) + INTERVAL 500 MILLISECOND AS last_seen
+FROM edges WHERE edge_type = 'reply'""",
     "mention_edges": f"WITH {EDGES_CTE} SELECT * FROM edges WHERE edge_type = 'mention'",
     "interaction_edges": f"WITH {EDGES_CTE} SELECT * FROM edges",
     "edges_incremental_merge": f"WITH {EDGES_CTE} SELECT * FROM edges",
+    "edges_bucketed_merge": f"WITH {EDGES_CTE} SELECT * FROM edges",
     "weighted_degree": f"WITH {EDGES_CTE} SELECT * FROM degrees",
     "top_weighted_degree": f"WITH {EDGES_CTE} SELECT * FROM degrees ORDER BY degree_w DESC, node LIMIT 50",
     "undirected_graph": f"WITH {EDGES_CTE} SELECT * FROM pairs",
@@ -493,6 +529,7 @@ power(node, x, h) AS (
 )
 SELECT node, round(x, 6) AS centrality FROM power WHERE h = 100""",
     "jsonl_roundtrip": "SELECT doc_id, lang, n_chars, text FROM documents",
+    "jsonl_utf16_roundtrip": "SELECT doc_id, lang, n_chars, text FROM documents",
     "csv_roundtrip": "SELECT doc_id, text, source FROM documents",
     "table_roundtrip": "SELECT doc_id, source FROM documents WHERE n_chars > 500",
     "lexicon_sentiment": f"""WITH {COMPOUND_CTE}
@@ -503,6 +540,15 @@ FROM compounds WHERE length(text) > 0""",
     "lexicon_sentiment_repeated_ids": f"""WITH {COMPOUND_CTE}
 SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN doc_id % 50 END AS id, round(compound, 3) AS sentiment_compound
 FROM compounds WHERE length(text) > 0""",
+    "louvain_of_turns": f"""WITH {_TURNS} SELECT concat('c', conv_id, '_', turn) AS node, community FROM conversations JOIN numbered USING (conv_id)""",
+    "louvain_of_turns_summary": f"""WITH {_TURNS},
+total AS (SELECT sum(size) AS nodes, sum(size - 1) AS edges, count(*) AS communities FROM numbered)
+SELECT 'louvain' AS algo, CAST(nodes AS BIGINT) AS nodes, CAST(edges AS BIGINT) AS edges, communities,
+       round((SELECT sum((size - 1) / edges - ((size - 1) / edges) ** 2) FROM numbered, total), 9) AS modularity,
+       (SELECT string_agg(concat(community, ':', size), ',' ORDER BY community) FROM numbered WHERE community < 10) AS top10_sizes
+FROM total""",
+    "publish_order": f"""WITH {SOCIAL_CTE}
+SELECT fullname, row_number() OVER (ORDER BY event_ts, fullname) - 1 AS position FROM social""",
     "lexicon_idioms": f"""WITH {_compound_cte(PHRASE_RULES, IDIOMS, EMOJI)}
 SELECT doc_id, compound FROM compounds""",
     "mean_polarity": f"""WITH {POLARITY_CTE}
@@ -547,29 +593,26 @@ SELECT doc_id, quality, CAST(rn <= ceil(0.25 * n) AS INT) AS is_test FROM (
   SELECT doc_id, quality, count(*) OVER (PARTITION BY quality) AS n,
          row_number() OVER (PARTITION BY quality ORDER BY md5(concat('42:', doc_id)), doc_id) AS rn
   FROM labels)""",
-    "tfidf_top_terms": f"""
-WITH kept AS (
-  SELECT doc_id, list_filter(regexp_extract_all(lower(text), '{fixed.TOKEN_PATTERN}'),
-                             lambda w: w NOT IN ({_STOP})) AS ws
-  FROM documents
-),
-terms AS (
-  SELECT doc_id, unnest(ws) AS term FROM kept
+    "nmf_leading_topic": f"""
+WITH RECURSIVE {_TFIDF.replace("scaled AS (", "scaled AS MATERIALIZED (")},
+power AS (
+  SELECT 0 AS i, term, 1.0 AS x FROM vocab
   UNION ALL
-  SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda i: concat(ws[i], ' ', ws[i + 1]))) FROM kept
-),
-counts AS (SELECT doc_id, term, count(*) AS n FROM terms GROUP BY ALL),
-vocab AS (
-  SELECT term, count(*) AS df, sum(n) AS cf FROM counts GROUP BY term HAVING count(*) >= 2
-  ORDER BY cf DESC, term LIMIT 20000
-),
-size AS (SELECT count(*) AS n FROM documents),
-weights AS (
-  SELECT doc_id, term, c.n * (ln((1.0 + size.n) / (1.0 + df)) + 1.0) AS w
-  FROM counts c JOIN vocab USING (term) CROSS JOIN size
-),
-norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weights GROUP BY doc_id),
-scaled AS (SELECT doc_id, term, w / norm AS w FROM weights JOIN norms USING (doc_id)),
+  SELECT i + 1, term, sum(w * y) FROM (
+    SELECT i, doc_id, sum(w * x) AS y FROM power JOIN scaled USING (term) WHERE i < 60 GROUP BY i, doc_id
+  ) JOIN scaled USING (doc_id) GROUP BY i, term
+),
+main_vector AS (SELECT term, x / sqrt(sum(x * x) OVER ()) AS x FROM power WHERE i = 60)
+SELECT term, round(x, 5) AS weight FROM main_vector WHERE round(x, 5) >= 0.01""",
+    "tfidf_repeated_ids": f"""
+WITH {_TFIDF},
+ranked AS (
+  SELECT doc_id, term, w, row_number() OVER (PARTITION BY doc_id ORDER BY round(w, 9) DESC, term) AS rank
+  FROM scaled
+)
+SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN doc_id % 50 END AS id, term, round(round(w, 9), 6) AS weight FROM ranked WHERE rank = 1""",
+    "tfidf_top_terms": f"""
+WITH {_TFIDF},
 ranked AS (
   SELECT doc_id, term, w, row_number() OVER (PARTITION BY doc_id ORDER BY round(w, 9) DESC, term) AS rank
   FROM scaled
@@ -609,6 +652,7 @@ SELECT window_start, window_start + INTERVAL '1 day' AS window_end, label, volum
        round(volume / sum(volume) OVER (PARTITION BY window_start), 6) AS share
 FROM counts""",
     "stream_window_update": f"""WITH {SOCIAL_CTE} {_WINDOWS.format(size="6 hours", extra="")}""",
+    "stream_window_compacted": f"""WITH {SOCIAL_CTE} {_WINDOWS.format(size="6 hours", extra="")}""",
     "stream_window_append": f"""WITH {SOCIAL_CTE},
 windows AS (
   SELECT time_bucket(INTERVAL '5 minutes', kafka_ts) AS window_start,

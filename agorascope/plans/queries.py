@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,7 @@ from agorascope.plans.fixtures import (
     three_labels,
 )
 from agorascope.sources import files, listings, marks, messages
+from agorascope.sources.edge_table import EdgeTable
 from agorascope.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -324,6 +326,17 @@ def edges_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(edges.merge_edges(first, second), "first_seen", "last_seen")
 
 
+@query
+def edges_bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of messages merged into a stored table, one of them twice, equal one pass."""
+    posts = social(spark, sf_dir)
+    path = new_path(spark, "edges")
+    stored = EdgeTable(spark, f"edges_{path[-32:]}", path, parts=8, buckets=4)
+    for batch in (0, 1, 1, 2):
+        stored.merge(edges.interaction_edges(posts.filter(F.col("event_id") % 3 == batch), parents=posts), batch)
+    return _ntz(stored.edges(), "first_seen", "last_seen")
+
+
 @query
 def weighted_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7, A10, F12, G2."""
@@ -373,7 +386,7 @@ def top_degree_subgraph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def betweenness_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact up to 500 nodes, else from 500 pivots."""
+    """From every node."""
     metrics = centrality.graph_metrics(_stored_edges(spark, sf_dir))
     return metrics.withColumn("betweenness", F.round("betweenness", 9))
 
@@ -402,6 +415,38 @@ def louvain_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _turn_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn of a conversation linked to the next one."""
+    turns = table(spark, sf_dir, "conversations")
+    name = F.concat(F.lit("c"), "conv_id", F.lit("_"), "turn")
+    after = F.lead(name).over(Window.partitionBy("conv_id").orderBy("turn"))
+    return turns.select(name.alias("src"), after.alias("dst"), F.lit(1.0).alias("weight")).filter("dst IS NOT NULL")
+
+
+@query
+def louvain_of_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the communities are known, conversations, each node's community by size and name."""
+    return communities.louvain(_turn_edges(spark, sf_dir))
+
+
+@query
+def louvain_of_turns_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Its run summary."""
+    _, _, summary = communities.community_outputs(_turn_edges(spark, sf_dir))
+    listed = F.transform("top10_sizes", lambda x: F.concat_ws(":", x["community"], x["size"]))
+    return summary.select(
+        "algo", "nodes", "edges", "communities", F.round("modularity", 9).alias("modularity"), F.concat_ws(",", listed).alias("top10_sizes")
+    )
+
+
+@query
+def publish_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the place of each message when they are published oldest first."""
+    items = social(spark, sf_dir).select("fullname", F.col("event_ts").alias("created_utc"))
+    ordered = marks.oldest_first(items).withColumn("at", F.monotonically_increasing_id())
+    return rows.with_row_index(ordered, [F.asc("at")], "position").select("fullname", "position")
+
+
 # --- sentiment, evaluation, features ---
 
 
@@ -509,6 +554,16 @@ def tfidf_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.withColumn("weight", F.round("weight", 6))
 
 
+@query
+def tfidf_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 over records whose ids repeat or are missing: the heaviest term of each row's own text."""
+    key = F.when(F.col("doc_id") % 7 > 0, F.col("doc_id") % 50).alias("id")
+    docs = _documents(spark, sf_dir).select("doc_id", key, "text")
+    named = docs.select(F.struct("doc_id", "id").alias("row"), "text")
+    vectors, _ = features.tfidf(named, "row", "text", STOP_WORDS, 20_000, 2)
+    return features.top_terms(vectors, "row", 1).select("row.doc_id", "row.id", "term", F.round("weight", 6).alias("weight"))
+
+
 @query
 def train_eval_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report on the held-out quarter, from the predicted sentiment."""
@@ -533,6 +588,15 @@ def nmf_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def nmf_leading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 with one topic, which is the leading singular vector: its terms, in units of the vector's length."""
+    fitted = topics.factorise(_documents(spark, sf_dir), "doc_id", "text", STOP_WORDS, k=1, rounds=20, tolerance=0.0)
+    terms = topics.topic_terms(fitted, fitted.weights.shape[1])
+    weight = F.round(F.col("weight") / float(np.linalg.norm(fitted.weights[0])), 5)
+    return terms.select("term", weight.alias("weight")).filter("weight >= 0.01")
+
+
 @query
 def topic_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: the most frequent dominant topic of each source."""
@@ -576,6 +640,15 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_jsonl(spark, path, docs.schema, "UTF-8")
 
 
+@query
+def jsonl_utf16_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in UTF-16, each file read in many ranges."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text")
+    path = new_path(spark, "jsonl")
+    docs.coalesce(2).write.option("encoding", "UTF-16LE").json(path)
+    return files.read_jsonl(spark, path, docs.schema, "UTF-16LE", 64 << 10)
+
+
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of several lines written as quoted CSV and read again."""
@@ -670,6 +743,26 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(files.read_batches(spark, out).drop("batch_id"), "event_ts")
 
 
+@query
+def stream_reply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply edges from a stream in which replies come before and after their parents; equals the batch result."""
+    links = jobs.reply_links(_processed_stream(spark, sf_dir, maxFilesPerTrigger="4"), delay="60 days", horizon="60 days")
+    out = new_path(spark, "links")
+    jobs.start_reply_links(links, out, new_path(spark, "checkpoint")).awaitTermination()
+    return _ntz(jobs.read_reply_edges(spark, out), "first_seen", "last_seen")
+
+
+@query
+def stream_window_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `stream_window_update`, merged away by day after every batch."""
+    stream = _processed_stream(spark, sf_dir, maxFilesPerTrigger="4")
+    windows = jobs.window_updates(stream, delay="60 days", duration="6 hours")
+    out = new_path(spark, "windows")
+    jobs.start_window_updates(windows, out, new_path(spark, "checkpoint"), compact_after=1).awaitTermination()
+    merged = jobs.read_windows(spark, out, ["topic", "subreddit"])
+    return _ntz(merged, "window_start", "window_end").withColumn("avg_score", F.round("avg_score", 6))
+
+
 @query
 def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents scored batch by batch, each once."""

@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from agorascope.operators import centrality, communities, edges, graph, skew
+from agorascope.operators import centrality, communities, edges, graph, lineage, skew
 
 
 def table(spark, rows):
@@ -98,6 +98,94 @@ def test_modularity_of_two_cliques(spark):
     assert graph.modularity(pairs, single).first()["modularity"] == pytest.approx(0.0)
 
 
+def sequential_louvain(pairs):
+    """Modularity after moving one node at a time, level by level."""
+    weights = {}
+    for a, b, w in pairs:
+        weights.setdefault(a, {})[b] = weights.setdefault(a, {}).get(b, 0) + w
+        weights.setdefault(b, {})[a] = weights.setdefault(b, {}).get(a, 0) + (w if a != b else 0)
+    two_m = 2 * sum(w for *_, w in pairs)
+
+    def degree(n):
+        return sum(w for m, w in weights[n].items()) + weights[n].get(n, 0)
+
+    best = -1.0
+    while True:
+        label = {n: n for n in weights}
+        total = {n: degree(n) for n in weights}
+        moved = True
+        while moved:
+            moved = False
+            for n in sorted(weights):
+                k, own = degree(n), label[n]
+                links = {own: 0.0}
+                for m, w in weights[n].items():
+                    if m != n:
+                        links[label[m]] = links.get(label[m], 0) + w
+                total[own] -= k
+                gain = {c: w - k * total[c] / two_m for c, w in links.items()}
+                to = max(sorted(gain), key=lambda c: (round(gain[c], 9), c == own))
+                total[to] += k
+                label[n], moved = to, moved or to != own
+        inside = {c: 0.0 for c in set(label.values())}
+        merged = {c: {} for c in inside}
+        for n, row in weights.items():
+            for m, w in row.items():
+                a, b = label[n], label[m]
+                if a == b:
+                    inside[a] += w if n != m else 2 * w
+                else:
+                    merged[a][b] = merged[a].get(b, 0) + w
+        q = sum(inside[c] / two_m - (total[c] / two_m) ** 2 for c in inside)
+        if q <= best + 1e-7:
+            return best
+        best = q
+        for c in inside:
+            if inside[c]:
+                merged[c][c] = inside[c] / 2
+        weights = merged
+
+
+def some_graphs():
+    r = random.Random(8)
+    planted = [(i, j, 1.0) for i in range(60) for j in range(i) if r.random() < (0.5 if i // 12 == j // 12 else 0.03)]
+    ring = [(10 * c + i, 10 * c + j, 1.0) for c in range(8) for i in range(5) for j in range(i)] + [(10 * c, 10 * ((c + 1) % 8) + 1, 1.0) for c in range(8)]
+    sparse = [(r.randrange(80), r.randrange(80), float(r.randint(1, 5))) for _ in range(130)]
+    stars = [(100 * c, 100 * c + i, 1.0) for c in range(5) for i in range(1, 25)] + [(0, 100 * c, 2.0) for c in range(1, 5)]
+    grid = [(10 * x + y, 10 * x + y + d, 1.0) for x in range(8) for y in range(8) for d in (1, 10) if (y < 7 or d == 10) and (x < 7 or d == 1)]
+    return {"planted": planted, "ring": ring, "sparse": sparse, "stars": stars, "grid": grid}
+
+
+@pytest.mark.parametrize("name", ["planted", "ring", "sparse", "stars", "grid"])
+def test_louvain_is_as_good_as_one_node_at_a_time_and_connected(spark, name):
+    pairs = [(a, b, w) for a, b, w in some_graphs()[name]]
+    links = spark.createDataFrame([(f"n{a:04}", f"n{b:04}", w) for a, b, w in pairs], "src string, dst string, weight double")
+    found = {r.node: r.community for r in communities.louvain(links).collect()}
+    got = graph.modularity(edges.undirected(links), spark.createDataFrame(list(found.items()), "node string, community int")).first()["modularity"]
+    assert got >= 0.99 * sequential_louvain(pairs)
+    near = {}
+    for a, b, _ in pairs:
+        near.setdefault(f"n{a:04}", set()).add(f"n{b:04}")
+        near.setdefault(f"n{b:04}", set()).add(f"n{a:04}")
+    for c in set(found.values()):
+        own = {n for n, k in found.items() if k == c}
+        seen, todo = set(), [min(own)]
+        while todo:
+            n = todo.pop()
+            if n not in seen:
+                seen.add(n)
+                todo += near[n] & own
+        assert seen == own
+
+
+def test_a_community_in_two_pieces_is_split(spark):
+    scratch = lineage.Scratch(spark, "t")
+    both = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (3, 2), (3, 4), (4, 3), (5, 6), (6, 5)], "node long, next long")
+    labels = spark.createDataFrame([(i, 1.0, 0.0, 9 if i != 3 else 8) for i in range(1, 7)], "node long, k double, inner double, community long")
+    got = {r.node: r.community for r in communities._connected(scratch, both, labels, None, True).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 5}
+
+
 def test_louvain_finds_cliques_whatever_the_partitions(spark):
     links = cliques(spark)
     labels, sizes, summary = communities.community_outputs(links)
