@@ -97,13 +97,14 @@ def _granted(wishes: DataFrame, both: DataFrame, turn: int, hot: DataFrame | Non
     return wishes.join(beaten, "node", "left").select("node", "k", "inner", moves.alias("community"))
 
 
-def _quality(wishes: DataFrame, two_m: float) -> float:
-    """Modularity of the labels that wishes were made from."""
+def _quality(wishes: DataFrame, two_m: float) -> tuple[float, int]:
+    """Modularity of the labels that wishes were made from, and how many nodes wish to move."""
+    asks = (F.col("wish") != F.col("own")).cast("long")
     sums = wishes.groupBy("own").agg(
-        F.sum(F.col("own_w") + 2 * F.col("inner")).alias("inside"), F.sum("k").alias("total")
+        F.sum(F.col("own_w") + 2 * F.col("inner")).alias("inside"), F.sum("k").alias("total"), F.sum(asks).alias("asking")
     )
-    inside, squares = sums.agg(F.sum("inside"), F.sum(F.col("total") * F.col("total"))).first()
-    return inside / two_m - squares / (two_m * two_m)
+    inside, squares, asking = sums.agg(F.sum("inside"), F.sum(F.col("total") * F.col("total")), F.sum("asking")).first()
+    return inside / two_m - squares / (two_m * two_m), asking
 
 
 def _connected(scratch: Scratch, both: DataFrame, labels: DataFrame, hot: DataFrame | None, small: bool) -> DataFrame:
@@ -147,20 +148,20 @@ def _local_moves(scratch: Scratch, level: Level) -> tuple[DataFrame, bool]:
     small = fits_broadcast(labels)
     hot = None if small else scratch.cut(hot_keys(both, ["node"]))
     wishes = _wishes(scratch, both, labels, level.two_m, hot, small)
-    first = best = _quality(wishes, level.two_m)
-    idle = 0
+    best, asking = _quality(wishes, level.two_m)
+    first, idle = best, 0
     for turn in itertools.count():  # each round that is not idle gains at least TOLERANCE of at most 1
-        if idle == IDLE_ROUNDS or wishes.filter("wish <> own").isEmpty():
+        if idle == IDLE_ROUNDS or not asking:
             break
         moved = scratch.cut(_granted(wishes, both, turn, hot, small))
         after = _wishes(scratch, both, moved, level.two_m, hot, small)
-        q = _quality(after, level.two_m)
+        q, left = _quality(after, level.two_m)
         idle = 0 if q > best + TOLERANCE else idle + 1
         if q < best:
             scratch.release(after, moved)
             continue
         scratch.release(wishes, labels)
-        wishes, labels, best = after, moved, q
+        wishes, labels, best, asking = after, moved, q, left
     if best - first <= TOLERANCE:
         return labels, False
     return _connected(scratch, both, labels, hot, small), True

@@ -596,7 +596,7 @@ SELECT doc_id, quality, CAST(rn <= ceil(0.25 * n) AS INT) AS is_test FROM (
     "nmf_leading_topic": f"""
 WITH RECURSIVE {_TFIDF.replace("scaled AS (", "scaled AS MATERIALIZED (")},
 power AS (
-  SELECT 0 AS i, term, 1.0 AS x FROM vocab
+  SELECT 0 AS i, term, CAST(1 AS DOUBLE) AS x FROM vocab
   UNION ALL
   SELECT i + 1, term, sum(w * y) FROM (
     SELECT i, doc_id, sum(w * x) AS y FROM power JOIN scaled USING (term) WHERE i < 60 GROUP BY i, doc_id
