@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from agorascope import fixed
 from agorascope.functions.scores import probability_map
 from agorascope.functions.text import fallback_text
-from agorascope.operators.features import term_counts, vocabulary
+from agorascope.operators.features import term_totals, vocabulary
 
 INPUT = "model_text"
 VERSION = "tfidf_logreg_v1"
@@ -61,10 +61,8 @@ def train(
     The vocabulary (at most `max_features` terms) is part of the model and passes the driver.
     """
     rows = docs.select(F.col(text_col).alias(INPUT), F.col(label_col).alias("label")).dropna()
-    numbered = rows.withColumn("_row", F.lit(0))
     n = rows.count()
-    counts = term_counts(numbered, "_row", INPUT, stop_words)
-    vocab = vocabulary(counts, n, max_features, min_df).orderBy("term_id").collect()
+    vocab = vocabulary(term_totals(rows, INPUT, stop_words), n, max_features, min_df).orderBy("term_id").collect()
     labels = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]
     stages = _feature_stages([r["term"] for r in vocab], [r["idf"] for r in vocab], stop_words)
     prepared = PipelineModel(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,61 +11,72 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agorascope.functions import text
+from agorascope.operators import tokens
 from agorascope.operators.lineage import cut
 from agorascope.session import ship
 
 
-def with_terms(
-    docs: DataFrame, text_col: str, stop_words: Sequence[str] = (), ngrams: int = 2, name: str = "terms"
-) -> DataFrame:
-    """Adds the words that are not stop words and, for `ngrams` 2, the pairs of neighbours among them.
+#: Bytes of text whose terms a task counts at once.
+BLOCK = 4 << 20
 
-    The words are a column of their own, so that the pairs read them instead of splitting the text again.
+
+def _kept(words: pa.Array, stop: pa.Array) -> np.ndarray:
+    """Which words count: two characters or more, and no stop word."""
+    dropped = pc.or_(pc.less(pc.utf8_length(words), 2), pc.is_in(words, value_set=stop))
+    return ~dropped.to_numpy(zero_copy_only=False)
+
+
+def _block_totals(texts: pa.Array, stop: pa.Array, ngrams: int) -> pa.RecordBatch:
+    """(term, df, cf) within these lower-case texts. A pair is a number made of its words' numbers until it is counted."""
+    words, starts = tokens.runs(texts)
+    coded = words.dictionary_encode()
+    names, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    kept = _kept(names, stop)[ids]
+    row, ids = np.repeat(np.arange(len(texts)), np.diff(starts))[kept], ids[kept]
+    size, n = max(1, len(names)), max(1, len(texts))
+    cells = ids * n + row
+    if ngrams == 2:
+        near = row[1:] == row[:-1]
+        cells = np.concatenate([cells, ((ids[:-1] + 1) * size + ids[1:])[near] * n + row[1:][near]])
+    cells, counts = np.unique(cells, return_counts=True)
+    codes = cells // n
+    first = np.flatnonzero(np.diff(codes, prepend=-1))
+    codes, df = codes[first], np.diff(first, append=len(cells))
+    cf = np.add.reduceat(counts, first) if len(first) else counts
+    single = int(np.searchsorted(codes, size))
+    heads, tails = names.take(pa.array(codes[single:] // size - 1)), names.take(pa.array(codes[single:] % size))
+    terms = pa.concat_arrays([names.take(pa.array(codes[:single])), pc.binary_join_element_wise(heads, tails, " ")])
+    return pa.RecordBatch.from_arrays([terms, pa.array(df, pa.int64()), pa.array(cf, pa.int64())], ["term", "df", "cf"])
+
+
+def _lower(text_col: str) -> Column:
+    return F.lower(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def term_totals(docs: DataFrame, text_col: str, stop_words: Sequence[str] = (), ngrams: int = 2) -> DataFrame:
+    """(term, df, cf): rows that hold a word or, for `ngrams` 2, a pair of neighbours, and its occurrences; stop words are left out first.
+
+    A block of texts is counted in its task, so a term is shuffled once a block that holds it.
     """
-    words = text.tokens(F.coalesce(F.col(text_col), F.lit("")))
-    if stop_words:
-        words = F.filter(words, lambda w: ~w.isin(list(stop_words)))
-    if ngrams == 1:
-        return docs.withColumn(name, words)
-    firsts = F.slice("_words", 1, F.greatest(F.size("_words") - 1, F.lit(0)))
-    pairs = F.transform(firsts, lambda w, i: F.concat_ws(" ", w, F.get("_words", i + 1)))
-    return docs.withColumn("_words", words).withColumn(name, F.concat("_words", pairs)).drop("_words")
-
-
-def term_counts(
-    docs: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = (), ngrams: int = 2
-) -> DataFrame:
-    """(id, term, n). Counted inside each document's row from its sorted terms, without a shuffle."""
-    found = with_terms(docs.select(id_col, text_col), text_col, stop_words, ngrams, "_t")
-    found = found.select(id_col, F.array_sort("_t").alias("_t"))
-    marked = F.transform("_t", lambda t, i: F.struct(t.alias("term"), i.alias("last")))
-    lasts = found.select(
-        id_col,
-        F.filter(marked, lambda x: ~x["term"].eqNullSafe(F.get("_t", x["last"] + 1))).alias("_l"),
-    )
+    ship(docs.sparkSession)
+    stop = pa.array(list(stop_words), pa.string())
 
-    def counted(x: Column, i: Column) -> Column:
-        before = F.coalesce(F.get("_l", i - 1)["last"], F.lit(-1))
-        return F.struct(x["term"].alias("term"), (x["last"] - before).cast("long").alias("n"))
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in tokens.blocks(batch.column(0), BLOCK):
+                yield _block_totals(block, stop, ngrams)
 
-    # The outer form keeps Spark from adding a filter below that would build the arrays again per term.
-    rows = lasts.select(id_col, F.inline_outer(F.transform("_l", counted)))
-    return rows.filter(F.col("term").isNotNull())
+    found = docs.select(_lower(text_col).alias("text")).mapInArrow(counted, "term string, df long, cf long")
+    return found.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
-def vocabulary(counts: DataFrame, docs: int, max_features: int, min_df: int = 1) -> DataFrame:
+def vocabulary(totals: DataFrame, docs: int, max_features: int, min_df: int = 1) -> DataFrame:
     """(term_id, term, df, cf, idf): the `max_features` terms of largest corpus count, ties by term.
 
     A histogram of counts by powers of two first drops terms that cannot be among them, so the
     final sort sees little more than `max_features` rows.
     """
-    totals = cut(
-        counts.groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("n").alias("cf"))
-        .filter(F.col("df") >= min_df),
-        "vocabulary",
-    )
+    totals = cut(totals.filter(F.col("df") >= min_df), "vocabulary")
     size = F.floor(F.log2("cf"))
     rows = totals.groupBy(size.alias("size")).agg(F.count("*").alias("n")).collect()  # 64 at most
     kept, floor = 0, 0
@@ -79,30 +90,45 @@ def vocabulary(counts: DataFrame, docs: int, max_features: int, min_df: int = 1)
     return cut(top.select(number.alias("term_id"), "term", "df", "cf", idf.alias("idf")), "vocabulary")
 
 
-def weigher(vocab: DataFrame) -> Callable[[Column], Column]:
-    """A column function from a row's terms to its features: an array of (term_id, term, weight) with unit L2 norm.
+def weigher(vocab: DataFrame, stop_words: Sequence[str] = ()) -> Callable[[Column], Column]:
+    """A column function from a row's lower-case text to its features: an array of (term_id, term, weight) with unit L2 norm.
 
     The vocabulary is a model of at most max_features terms, which every task holds: a row's weights need its own terms
-    only, so nothing is shuffled and rows of one id stay apart.
+    only, so nothing is shuffled and rows of one id stay apart. Pairs are looked up by the numbers of their words.
     """
     ship(vocab.sparkSession)
     rows = vocab.select("term", "idf").orderBy("term_id").toArrow()
-    names, idf = rows["term"].combine_chunks(), rows["idf"].to_numpy()
-    size = max(1, len(names))
-
-    @F.arrow_udf("array<struct<term_id:int,term:string,weight:double>>")
-    def weigh(terms: pa.Array) -> pa.Array:
-        lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
-        ids = pc.fill_null(pc.index_in(terms.flatten(), value_set=names), -1).to_numpy().astype(np.int64)
-        row = np.repeat(np.arange(len(terms)), lengths)
+    names, idf = rows["term"].combine_chunks().cast(pa.string()), rows["idf"].to_numpy()
+    stop, size = pa.array(list(stop_words), pa.string()), max(1, len(names))
+    split = [t.split(" ") for t in names.to_pylist()]
+    number = {w: i for i, w in enumerate(sorted({w for t in split for w in t}))}
+    known, base = pa.array(list(number), pa.string()), len(number) + 1
+    single = np.full(base, -1)
+    single[[number[t[0]] for t in split if len(t) == 1]] = [i for i, t in enumerate(split) if len(t) == 1]
+    double = sorted((number[t[0]] * base + number[t[1]], i) for i, t in enumerate(split) if len(t) == 2)
+    codes, pair = np.array([*(c for c, _ in double), np.iinfo(np.int64).max]), np.array([*(i for _, i in double), -1])
+
+    def weighed(texts: pa.Array) -> pa.Array:
+        words, starts = tokens.runs(texts)
+        kept = _kept(words, stop)
+        ids = pc.fill_null(pc.index_in(words, value_set=known), base - 1).to_numpy().astype(np.int64)[kept]
+        row = np.repeat(np.arange(len(texts)), np.diff(starts))[kept]
+        wanted = np.where(row[1:] == row[:-1], ids[:-1] * base + ids[1:], -1)
+        at = np.searchsorted(codes, wanted)
+        ids = np.concatenate([single[ids], np.where(codes[at] == wanted, pair[at], -1)])
+        row = np.concatenate([row, row[1:]])
         cells, n = np.unique((row * size + ids)[ids >= 0], return_counts=True)
         row, ids = cells // size, cells % size
         weight = n * idf[ids] if len(ids) else np.zeros(0)
-        norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(terms)))
+        norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(texts)))
         out = pa.StructArray.from_arrays(
             [pa.array(ids.astype(np.int32)), names.take(pa.array(ids)), pa.array(weight / norm[row])], ["term_id", "term", "weight"]
         )
-        return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(terms) + 1)).astype(np.int32)), out)
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)), out)
+
+    @F.arrow_udf("array<struct<term_id:int,term:string,weight:double>>")
+    def weigh(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([weighed(block) for block in tokens.blocks(texts, BLOCK)])
 
     return weigh
 
@@ -117,15 +143,13 @@ def tfidf(
     ngrams: int = 2,
 ) -> tuple[DataFrame, DataFrame]:
     """M4: (vectors, vocabulary): `id_col` and features of each row, empty without a term of the vocabulary."""
-    counts = term_counts(docs, id_col, text_col, stop_words, ngrams)
-    vocab = vocabulary(counts, docs.count(), max_features, min_df)
-    found = with_terms(docs.select(id_col, text_col), text_col, stop_words, ngrams, "_t")
-    return found.select(id_col, weigher(vocab)(F.col("_t")).alias("features")), vocab
+    vocab = vocabulary(term_totals(docs, text_col, stop_words, ngrams), docs.count(), max_features, min_df)
+    return docs.select(id_col, weigher(vocab, stop_words)(_lower(text_col)).alias("features")), vocab
 
 
 def top_terms(features: DataFrame, id_col: str, k: int = 5) -> DataFrame:
     """K6: the `k` heaviest terms of each document, ties by term, taken inside its row."""
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.transform(
             "features",
             lambda x: F.struct((-F.round(x["weight"], 9)).alias("minus"), x["term"].alias("term")),
