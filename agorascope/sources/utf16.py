@@ -18,6 +18,10 @@ from agorascope.session import ship
 
 #: Bytes of a range, bytes read at once, and lines that are given to Spark at once.
 RANGE, CHUNK, LINES = 32 << 20, 1 << 20, 4096
+#: Tasks that ranges are dealt to before a task gets more than one, and bytes of a task's ranges then.
+TASKS, TASK_BYTES = 64, 32 << 20
+#: Bytes read at least, past the end of a range too.
+MORE = 16 << 10
 _MARKS = {b"\xff\xfe": "utf-16-le", b"\xfe\xff": "utf-16-be"}
 
 
@@ -26,6 +30,13 @@ class Range(InputPartition):
         self.path, self.start, self.end, self.first, self.encoding = path, start, end, first, encoding
 
 
+class Ranges(InputPartition):
+    """What one task reads, range by range."""
+
+    def __init__(self, ranges: list[Range]):
+        self.ranges = ranges
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith(("/", "file:")) else (fs.LocalFileSystem(), path)
 
@@ -58,6 +69,20 @@ def ranges(path: str, encoding: str, size: int) -> list[Range]:
     return out
 
 
+def dealt(found: list[Range]) -> list[Ranges]:
+    """Neighbouring ranges put together: a start of a task costs more than a short range, so tasks grow with bytes, not with ranges."""
+    room = min(TASK_BYTES, sum(r.end - r.start for r in found) // TASKS)
+    out: list[Ranges] = []
+    held = 0
+    for part in found:
+        if not out or held + part.end - part.start > room:
+            out.append(Ranges([]))
+            held = 0
+        out[-1].ranges.append(part)
+        held += part.end - part.start
+    return out
+
+
 def _line_end(data: bytes, mark: bytes, at: int) -> int:
     """Where the next line end begins in whole code units from an even place on, or -1."""
     at = data.find(mark, at)
@@ -79,7 +104,8 @@ def lines(part: Range) -> Iterator[str]:
         file.seek(at)
         begin = at  # where the line in `held` begins
         while True:
-            more = file.read(CHUNK)
+            more = file.read(min(CHUNK, max(MORE, part.end - at, len(held))))
+            at += len(more)
             searched = max(0, len(held) - len(held) % 2 - 2)
             held += more
             cut = 0
@@ -112,11 +138,11 @@ class Utf16Reader(DataSourceReader):
         self.size = int(options.get("rangebytes", RANGE))
 
     def partitions(self) -> Sequence[InputPartition]:
-        return ranges(self.path, self.encoding, self.size) or [Range("", 0, 0, 0, "")]
+        return dealt(ranges(self.path, self.encoding, self.size)) or [Ranges([])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         held: list[str] = []
-        for line in lines(partition) if partition.path else ():
+        for line in (line for part in partition.ranges for line in lines(part)):
             held.append(line)
             if len(held) == LINES:
                 yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["value"])
