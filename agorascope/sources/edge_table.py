@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorascope.operators.edges import EDGE_KEY, accumulate
+from agorascope.operators.lineage import cut
 from agorascope.sources.files import folder_exists
 
 #: Parts of the key space that are rewritten on their own, and files of each. Fixed when a table is made.
@@ -45,7 +46,7 @@ class EdgeTable:
     def merged(self, fresh: DataFrame, batch: int) -> DataFrame:
         """The partitions that `fresh` touches, as they are after it; those that hold `batch` already are not among them."""
         part = F.pmod(F.xxhash64(*EDGE_KEY), F.lit(self.parts)).cast("int")
-        fresh = accumulate(fresh, *EDGE_KEY).withColumn("part", part)
+        fresh = cut(accumulate(fresh, *EDGE_KEY).withColumn("part", part), "fresh")  # read three times below
         touched = {r.part for r in fresh.select("part").distinct().collect()}  # at most `parts` numbers
         stored = self._stored()
         merged = stored.filter(F.col("part").isin(sorted(touched)) & (F.col("batch") >= batch))
