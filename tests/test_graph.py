@@ -81,6 +81,24 @@ def test_betweenness_from_all_pivots_is_exact_and_tiny_graph_is_zero(spark):
     assert set(found(centrality.betweenness(table(spark, [("a", "b", 1)]))).values()) == {0.0}
 
 
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_betweenness_of_a_small_graph_takes_the_same_jobs_however_long_its_paths(spark):
+    counts = []
+    for n in (5, 40):
+        rows = [(f"n{i:02}", f"n{i + 1:02}", 1 + i % 3) for i in range(n)]
+        got, jobs = jobs_of(spark, f"path-{n}", lambda rows=rows: found(centrality.betweenness(table(spark, rows))))
+        assert got == pytest.approx(brandes(rows), abs=1e-12)
+        counts.append(jobs)
+    assert counts[1] <= counts[0] + 5
+
+
 def cliques(spark):
     rows = []
     for side in ("a", "b"):
