@@ -13,11 +13,13 @@ from agorascope.operators.edges import undirected
 from agorascope.operators.graph import community_sizes, modularity, vertices
 from agorascope.operators.lineage import Scratch, cut
 from agorascope.operators.rows import top_k, with_row_index
-from agorascope.operators.skew import fits_broadcast, hot_keys, join_ends, spread_join
+from agorascope.operators.skew import HOT_ROWS, fits_broadcast, hot_keys, join_ends, spread_join
 
 MIN_GAIN = 1e-7  # of one move, in edge weight
 TOLERANCE = 1e-7  # of a level, or of one round, in modularity
 IDLE_ROUNDS = 4
+#: Nodes up to which labels are broadcast. Every round does so several times, and each passes through the driver.
+ROUND_ROWS = 10_000
 
 
 @dataclass
@@ -30,11 +32,17 @@ class Level:
 
 
 def _attach(rows: DataFrame, labels: DataFrame, on: str, hot: DataFrame | None, small: bool) -> DataFrame:
+    """Join to labels; without `hot` keys, by sorting both sides, so that no label passes through the driver."""
     if small:
         return rows.join(F.broadcast(labels), on)
-    if hot is not None:
-        hot = hot.withColumnRenamed("node", on)
-    return spread_join(rows, labels, [on], hot=hot)
+    if hot is None:
+        return rows.join(labels.hint("merge"), on)
+    return spread_join(rows, labels, [on], hot=hot.withColumnRenamed("node", on))
+
+
+def _attach_target(rows: DataFrame, targets: DataFrame, on: str, many: bool, small: bool) -> DataFrame:
+    """Join rows, at most one a node and community, to one per community; with `many` nodes, one community may be hot."""
+    return spread_join(rows, targets, [on]) if many else _attach(rows, targets, on, None, small)
 
 
 def _nodes(level: Level) -> DataFrame:
@@ -48,10 +56,13 @@ def _nodes(level: Level) -> DataFrame:
     return outer.unionByName(own).groupBy("node").agg(F.sum("inner").alias("inner"), F.sum("k").alias("k"))
 
 
-def _wishes(scratch: Scratch, both: DataFrame, labels: DataFrame, two_m: float, hot: DataFrame | None, small: bool) -> DataFrame:
-    """(node, inner, k, own, own_w, wish): the community of largest gain for each node, `own` where none gains.
+def _wishes(
+    scratch: Scratch, both: DataFrame, labels: DataFrame, two_m: float, hot: DataFrame | None, small: bool, many: bool = False
+) -> DataFrame:
+    """(node, inner, k, own, own_w, own_k, wish, gain): the community of largest gain for each node, `own` where none gains.
 
-    `own` is its label, `own_w` the weight to others with that label.
+    `own` is its label, `own_w` the weight to others with that label, `own_k` the degree of all of them, `gain` what the wish
+    gains over staying.
     """
     totals = labels.groupBy(F.col("community").alias("target")).agg(F.sum("k").alias("total"))
     here = labels.select("node", F.col("community").alias("own"), "k", "inner")
@@ -67,7 +78,7 @@ def _wishes(scratch: Scratch, both: DataFrame, labels: DataFrame, two_m: float,
     )
     if not small:
         links = scratch.cut(links)  # read twice below
-    rated = _attach(links, totals, "target", None, small)
+    rated = _attach_target(links, totals, "target", many, small)
     stays = F.col("target") == F.col("own")
     rest = F.col("total") - F.when(stays, F.col("k")).otherwise(0.0)
     gain = F.col("w") - F.col("k") * rest / two_m
@@ -78,32 +89,47 @@ def _wishes(scratch: Scratch, both: DataFrame, labels: DataFrame, two_m: float,
         F.max(choice).alias("best"),
         F.max(F.when(stays, gain)).alias("own_gain"),
         F.max(F.when(stays, F.col("w"))).alias("own_w"),
+        F.max(F.when(stays, F.col("total"))).alias("own_k"),
     )
-    wish = F.when(F.col("best.gain") - F.col("own_gain") > MIN_GAIN, -F.col("best.minus")).otherwise(F.col("own"))
-    return scratch.cut(best.select("node", "inner", "k", "own", "own_w", wish.alias("wish")))
+    over = F.col("best.gain") - F.col("own_gain")
+    wish = F.when(over > MIN_GAIN, -F.col("best.minus")).otherwise(F.col("own"))
+    return scratch.cut(best.select("node", "inner", "k", "own", "own_w", "own_k", wish.alias("wish"), over.alias("gain")))
 
 
-def _granted(wishes: DataFrame, both: DataFrame, turn: int, hot: DataFrame | None, small: bool) -> DataFrame:
-    """(node, k, inner, community): wishes come true for nodes whose priority beats that of all neighbours who wish too.
+def _granted(
+    scratch: Scratch, wishes: DataFrame, both: DataFrame, two_m: float, turn: int, hot: DataFrame | None, small: bool, many: bool
+) -> DataFrame:
+    """(node, k, inner, community): the wishes that come true at once.
 
-    The priority is a hash that differs from round to round, so no two neighbours move at once (Luby 1986).
+    Two neighbours spoil each other's gain where one wishes for the community that the other wishes to leave: of such two, only
+    the one with the higher priority may move, a hash that differs from round to round (Luby 1986). Nodes that join one
+    community each add their degree to it: a node may move with the probability that its gain outlasts the others, and the
+    first of them by priority always does.
     """
-    asking = wishes.filter("wish <> own").select("node", F.xxhash64("node", F.lit(turn)).alias("rank"))
-    mine = asking.select("node", F.struct("rank", "node").alias("mine"))
-    other = asking.select(F.col("node").alias("next"), F.struct("rank", F.col("node").alias("node")).alias("other"))
-    rivals = _attach(_attach(both.select("node", "next"), mine, "node", hot, small), other, "next", hot, small)
-    beaten = rivals.filter("other > mine").select("node").distinct().withColumn("beaten", F.lit(True))
-    moves = F.when(F.col("beaten").isNull(), F.col("wish")).otherwise(F.col("own"))
-    return wishes.join(beaten, "node", "left").select("node", "k", "inner", moves.alias("community"))
+    rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), F.col("node").alias("id"))
+    asking = wishes.filter("wish <> own").select("node", "own", "wish", "k", "gain", rank.alias("mine"))
+    other = asking.select(F.col("node").alias("next"), F.col("own").alias("left"), F.col("wish").alias("joined"), F.col("mine").alias("other"))
+    rivals = _attach(both.select("node", "next"), asking.select("node", "own", "wish", "mine"), "node", hot, small)
+    rivals = _attach(rivals, other, "next", hot, small)
+    beaten = rivals.filter("(wish = left OR joined = own) AND other > mine").select("node").distinct()
+    free = asking.join(beaten if small else beaten.hint("merge"), "node", "left_anti")
+    free = scratch.cut(free.select("node", "wish", "k", "gain", "mine"))
+    crowds = free.groupBy("wish").agg(F.sum("k").alias("crowd"), F.max("mine").alias("lead"))
+    draw = F.pmod(F.xxhash64(F.lit(turn), "node"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    lasts = draw * (F.col("crowd") - F.col("k")) <= F.col("gain") * two_m / F.col("k")
+    moves = _attach_target(free, crowds, "wish", many, small).filter((F.col("mine") == F.col("lead")) | lasts)
+    moves = moves.select("node", F.col("wish").alias("community"))
+    after = wishes.select("node", "k", "inner", "own").join(moves if small else moves.hint("merge"), "node", "left")
+    after = scratch.cut(after.select("node", "k", "inner", F.coalesce("community", "own").alias("community")))
+    scratch.release(free)
+    return after
 
 
 def _quality(wishes: DataFrame, two_m: float) -> tuple[float, int]:
     """Modularity of the labels that wishes were made from, and how many nodes wish to move."""
     asks = (F.col("wish") != F.col("own")).cast("long")
-    sums = wishes.groupBy("own").agg(
-        F.sum(F.col("own_w") + 2 * F.col("inner")).alias("inside"), F.sum("k").alias("total"), F.sum(asks).alias("asking")
-    )
-    inside, squares, asking = sums.agg(F.sum("inside"), F.sum(F.col("total") * F.col("total")), F.sum("asking")).first()
+    inside = F.sum(F.col("own_w") + 2 * F.col("inner"))
+    inside, squares, asking = wishes.agg(inside, F.sum(F.col("k") * F.col("own_k")), F.sum(asks)).first()
     return inside / two_m - squares / (two_m * two_m), asking
 
 
@@ -121,9 +147,10 @@ def _connected(scratch: Scratch, both: DataFrame, labels: DataFrame, hot: DataFr
         least = told.unionByName(now.select("node", F.col("node").alias("next"), "piece").select(told.columns))
         least = scratch.cut(least.groupBy("node").agg(F.min("piece").alias("near")))
         far = least.select(F.col("node").alias("near"), F.col("near").alias("far"))
-        hopped = least.join(F.broadcast(far) if small else far, "near").select("node", F.least("near", "far").alias("piece"))
+        hopped = least.join(F.broadcast(far) if small else far.hint("merge"), "near").select("node", F.least("near", "far").alias("piece"))
         after = scratch.cut(hopped)
-        same = after.join(now.withColumnRenamed("piece", "before"), "node").filter("piece <> before").isEmpty()
+        before = now.withColumnRenamed("piece", "before")
+        same = after.join(before if small else before.hint("merge"), "node").filter("piece <> before").isEmpty()
         scratch.release(now, least)
         now = after
         if same:
@@ -136,8 +163,8 @@ def _connected(scratch: Scratch, both: DataFrame, labels: DataFrame, hot: DataFr
 def _local_moves(scratch: Scratch, level: Level) -> tuple[DataFrame, bool]:
     """Nodes move to the neighbouring community of largest gain until none gains.
 
-    Two nodes that are no neighbours may still join one community in a round and gain less than each expected; labels that
-    turn out worse are dropped, and the next round draws other nodes. Ends when no node wishes to move, or when
+    Moves of one round may still gain less than each expected; labels that turn out worse are dropped, and the next round draws
+    other nodes. Ends when no node wishes to move, or when
     `IDLE_ROUNDS` rounds one after another gain nothing. Returns the best labels, each community in one piece, and
     whether they are better than single nodes.
     """
@@ -145,16 +172,18 @@ def _local_moves(scratch: Scratch, level: Level) -> tuple[DataFrame, bool]:
     backward = level.pairs.select(F.col("dst").alias("node"), F.col("src").alias("next"), "weight")
     both = scratch.cut(forward.unionByName(backward))
     labels = scratch.cut(_nodes(level).withColumn("community", F.col("node")))
-    small = fits_broadcast(labels)
-    hot = None if small else scratch.cut(hot_keys(both, ["node"]))
-    wishes = _wishes(scratch, both, labels, level.two_m, hot, small)
+    small = fits_broadcast(labels, ROUND_ROWS)
+    many = not small and labels.count() >= HOT_ROWS  # else no node has so many neighbours, no community so many nodes
+    hot = scratch.cut(hot_keys(both, ["node"])) if many else None
+    hot = None if hot is None or hot.isEmpty() else hot
+    wishes = _wishes(scratch, both, labels, level.two_m, hot, small, many)
     best, asking = _quality(wishes, level.two_m)
     first, idle = best, 0
     for turn in itertools.count():  # each round that is not idle gains at least TOLERANCE of at most 1
         if idle == IDLE_ROUNDS or not asking:
             break
-        moved = scratch.cut(_granted(wishes, both, turn, hot, small))
-        after = _wishes(scratch, both, moved, level.two_m, hot, small)
+        moved = _granted(scratch, wishes, both, level.two_m, turn, hot, small, many)
+        after = _wishes(scratch, both, moved, level.two_m, hot, small, many)
         q, left = _quality(after, level.two_m)
         idle = 0 if q > best + TOLERANCE else idle + 1
         if q < best:
@@ -183,8 +212,8 @@ def _contract(scratch: Scratch, level: Level, labels: DataFrame) -> Level:
 def louvain(edges: DataFrame) -> DataFrame:
     """(node, community), communities numbered from 0 by size, then by smallest member name.
 
-    Blondel et al. 2008 with moves made in parallel: in every round an independent set of the nodes that gain by it, drawn by
-    hash priority, take the community of largest gain; ties keep the node where it is, then prefer the smallest number.
+    Blondel et al. 2008 with moves made in parallel: in every round those of the nodes that gain by it which do not spoil each
+    other's gain, drawn by hash priority, take the community of largest gain; ties keep the node where it is, then prefer the smallest number.
     After a level's moves, communities that have come apart are split into their pieces, which never lowers modularity (Traag
     et al. 2019). Levels are added until one gains nothing.
     """

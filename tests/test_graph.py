@@ -204,6 +204,26 @@ def test_a_community_in_two_pieces_is_split(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 5}
 
 
+def test_louvain_grants_most_wishes_of_a_dense_graph_at_once(spark):
+    """All nodes of a clique are neighbours, so an independent set is one node; a leaf that joins a hub spoils no other's gain."""
+    scratch = lineage.Scratch(spark, "t")
+    both = spark.createDataFrame([(i, j) for i in range(30) for j in range(30) if i != j], "node long, next long")
+    wishes = [(i, 0.0, 29.0, i if i < 5 else 100 + i, 0.0, 29.0, i if i < 5 else i % 5, 0.9) for i in range(30)]
+    wishes = spark.createDataFrame(wishes, "node long, inner double, k double, own long, own_w double, own_k double, wish long, gain double")
+    after = communities._granted(scratch, wishes, both, 1e6, 0, None, True, False).collect()
+    assert all(r.community == (r.node if r.node < 5 else r.node % 5) for r in after)
+
+
+def test_louvain_sends_no_labels_through_the_driver_beyond_round_rows(spark, monkeypatch):
+    monkeypatch.setattr(communities, "ROUND_ROWS", 10)
+    scratch = lineage.Scratch(spark, "t")
+    rows = spark.range(50).select(F.col("id").alias("node"), (F.col("id") + 1).alias("next"))
+    labels = spark.range(51).select(F.col("id").alias("next"), F.lit(1).alias("label"))
+    joined = communities._attach(rows, scratch.cut(labels), "next", None, False)
+    assert joined.count() == 50
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_louvain_finds_cliques_whatever_the_partitions(spark):
     links = cliques(spark)
     labels, sizes, summary = communities.community_outputs(links)
