@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agorascope.operators.blocks import NEVER, dependencies, graph_of_blocks, nearest, offers
 from agorascope.operators.edges import directed
 from agorascope.operators.graph import vertices, weighted_degrees
 from agorascope.operators.lineage import Scratch, cut
@@ -20,6 +21,8 @@ TASK_LINKS = 1_000_000
 #: Pivots that such a task takes through the links at a time, and links or nodes times pivots, at most.
 TASK_PIVOTS = 16
 TASK_CELLS = 4_000_000
+#: Links of a block of a larger graph, where there are enough blocks for all tasks; TASK_LINKS at most.
+BLOCK_LINKS = 250_000
 
 
 def number_nodes(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -114,14 +117,6 @@ def _dependencies(
     )
 
 
-def _offers(tail: np.ndarray, head: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(links that leave a live node, their heads, where each head's run starts), for links sorted by head."""
-    sent = np.flatnonzero(live[tail])
-    run = head[sent]
-    first = np.flatnonzero(np.diff(run, prepend=-1))
-    return sent, run[first], first
-
-
 def _along(tail: np.ndarray, head: np.ndarray, weight: np.ndarray, far: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Sum over all shortest paths of `start` (nodes x pivots) carried from tail to head.
 
@@ -131,7 +126,7 @@ def _along(tail: np.ndarray, head: np.ndarray, weight: np.ndarray, far: np.ndarr
     tail, head, weight = tail[order], head[order], weight[order, None]
     total, layer = start.copy(), start
     while (live := layer.any(axis=1)).any():
-        sent, heads, first = _offers(tail, head, live)
+        sent, heads, first = offers(tail, head, live)
         layer_after = np.zeros_like(layer)
         if len(sent):
             tight = far[tail[sent]] + weight[sent] == far[head[sent]]
@@ -147,20 +142,9 @@ def _block_dependencies(pivots: np.ndarray, tail: np.ndarray, head: np.ndarray,
     The links are sorted by head.
     """
     own = pivots, np.arange(len(pivots))
-    never = np.iinfo(np.int64).max
-    dist = np.full((n, len(pivots)), never)
+    dist = np.full((n, len(pivots)), NEVER)
     dist[own] = 0
-    live = np.zeros(n, bool)
-    live[pivots] = True
-    while live.any():
-        sent, heads, first = _offers(tail, head, live)
-        live = np.zeros(n, bool)
-        if len(sent):
-            from_tail = dist[tail[sent]]
-            offers = np.where(from_tail < never, from_tail + weight[sent, None], never)
-            best = np.minimum(dist[heads], np.minimum.reduceat(offers, first, axis=0))
-            live[heads] = (best < dist[heads]).any(axis=1)
-            dist[heads] = best
+    nearest(dist, tail, head, weight)
     one = np.zeros(dist.shape)
     one[own] = 1.0
     paths = _along(tail, head, weight, dist, one)
@@ -191,13 +175,41 @@ def _dependencies_of_blocks(pivots: DataFrame, k: int, links: DataFrame, n: int,
     return found.groupBy("node").agg(F.sum("value").alias("value"))
 
 
+def _in_batches(
+    scratch: Scratch, pivots: DataFrame, k: int, batch: int, links: DataFrame, blocks: tuple | None, n: int, size: int
+) -> DataFrame:
+    """(node, value): dependency of all pivots on each node, `batch` pivots at a time."""
+    if blocks is None:
+        small = fits_broadcast(links)
+        hot = None if small else cut(hot_keys(links, ["node"]), "hot")
+    else:
+        graph, place = blocks
+        pivots = scratch.cut(place(pivots.withColumnRenamed("pivot", "node")).withColumn("turn", F.col("turn").cast("int")))
+        most = max(1, min(TASK_PIVOTS, TASK_CELLS // size))
+    parts = None
+    for start in range(0, k, batch):
+        turn = F.col("turn")
+        group = pivots.filter((turn >= start) & (turn < start + batch))
+        inner = Scratch(links.sparkSession, "betweenness")
+        if blocks is None:
+            part = scratch.cut(_dependencies(inner, group.select("pivot"), links, hot, small))
+        else:
+            part = scratch.cut(dependencies(inner, graph, group, n, most))
+        inner.release_all()
+        parts = part if parts is None else parts.unionByName(part)
+    if blocks is not None:
+        graph.unpersist()
+    return parts.groupBy("node").agg(F.sum("value").alias("value"))
+
+
 def betweenness(
     edges: DataFrame, pivots: int | None = None, seed: int = 42, batch: int | None = None
 ) -> DataFrame:
     """(node, betweenness), directed, weights as distances, normalised.
 
     Exact by default; an estimate from that many seeded nodes where `pivots` names a number. Weights
-    of 0 or below raise an error. A graph of at most TASK_LINKS links is sent to tasks that share the pivots. In a larger one
+    of 0 or below raise an error. A graph of at most TASK_LINKS links is sent to tasks that share the pivots. A larger one is
+    cut into blocks that tasks walk to the end, or, with nodes of more links than a block's, followed link by link. There
     pivots are handled `batch` at a time, by default so many that a batch holds at most STATE_ROWS distances and links.
     """
     nodes, numbered = number_nodes(directed(edges))
@@ -208,27 +220,21 @@ def betweenness(
     if n < 3:
         return nodes.select("node", F.lit(0.0).alias("betweenness"))
     links = numbered.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
-    small = fits_broadcast(links)
-    hot = None if small else cut(hot_keys(links, ["node"]), "hot")
-    batch = batch or max(1, STATE_ROWS // max(n, links.count()))
+    count = links.count()
+    batch = batch or max(1, STATE_ROWS // max(n, count))
     drawn = nodes if k == n else nodes.orderBy(seeded_key("node", seed), "node").limit(k)
     chosen = drawn.select(F.col("id").alias("pivot"))
     chosen = cut(with_row_index(chosen, [F.asc("pivot")], "turn"), "pivots")
     scratch = Scratch(edges.sparkSession, "betweenness")
-    parts, done = None, 0
+    cores = edges.sparkSession.sparkContext.defaultParallelism
     if fits_broadcast(links, TASK_LINKS):
-        share = -(-k // (3 * edges.sparkSession.sparkContext.defaultParallelism))
-        done, parts = k, scratch.cut(_dependencies_of_blocks(chosen, k, links, n, min(share, batch)))
-    for start in range(done, k, batch):
-        turn = F.col("turn")
-        group = chosen.filter((turn >= start) & (turn < start + batch)).select("pivot")
-        inner = Scratch(edges.sparkSession, "betweenness")
-        part = scratch.cut(_dependencies(inner, group, links, hot, small))
-        inner.release_all()
-        parts = part if parts is None else parts.unionByName(part)
+        share = -(-k // (3 * cores))
+        total = scratch.cut(_dependencies_of_blocks(chosen, k, links, n, min(share, batch)))
+    else:
+        size = min(TASK_LINKS, max(BLOCK_LINKS, (n + count) // cores))
+        total = _in_batches(scratch, chosen, k, batch, links, graph_of_blocks(scratch, links, n, count, size), n, size)
     scale = 1.0 / ((n - 1) * (n - 2)) * (n / k)
-    total = parts.groupBy(F.col("node").alias("id")).agg(F.sum("value").alias("value"))
-    return nodes.join(total, "id", "left").select(
+    return nodes.join(total.withColumnRenamed("node", "id"), "id", "left").select(
         "node", (F.coalesce("value", F.lit(0.0)) * scale).alias("betweenness")
     )
 

@@ -99,6 +99,32 @@ def test_betweenness_of_a_small_graph_takes_the_same_jobs_however_long_its_paths
     assert counts[1] <= counts[0] + 5
 
 
+def test_betweenness_in_blocks_that_paths_enter_again_and_again(spark, monkeypatch):
+    monkeypatch.setattr(centrality, "TASK_LINKS", 30)
+    monkeypatch.setattr(centrality, "TASK_PIVOTS", 7)
+    dice = random.Random(5)
+    rows = list({(f"n{dice.randrange(30):02}", f"n{dice.randrange(24):02}") for _ in range(110)})
+    rows = [(a, b, dice.randrange(1, 6)) for a, b in rows if a != b]
+    assert found(centrality.betweenness(table(spark, rows))) == pytest.approx(brandes(rows), abs=1e-12)
+    monkeypatch.setattr(centrality, "TASK_LINKS", 5)
+    got = found(centrality.betweenness(table(spark, GRAPHS["diamond"]), batch=3))
+    assert got == pytest.approx(brandes(GRAPHS["diamond"]), abs=1e-12)
+
+
+def test_betweenness_of_a_large_graph_takes_jobs_by_blocks_and_not_by_links_of_a_path(spark, monkeypatch):
+    monkeypatch.setattr(centrality, "TASK_LINKS", 60)
+    rows = [(f"n{i:02}", f"n{i + 1:02}", 1 + i % 3) for i in range(70)]
+    got, jobs = jobs_of(spark, "blocks", lambda: found(centrality.betweenness(table(spark, rows))))
+    assert got == pytest.approx(brandes(rows), abs=1e-12)
+    assert jobs < 140  # three sums of 70 rounds each, link by link
+
+
+def test_betweenness_with_a_hub_larger_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(centrality, "TASK_LINKS", 5)
+    rows = [x for i in range(14) for x in (("hub", f"n{i:02}", 1), (f"n{i:02}", f"n{i % 3:02}", 2), (f"n{i:02}", "hub", 1)) if x[0] != x[1]]
+    assert found(centrality.betweenness(table(spark, rows))) == pytest.approx(brandes(rows), abs=1e-12)
+
+
 def cliques(spark):
     rows = []
     for side in ("a", "b"):
