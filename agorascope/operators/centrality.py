@@ -210,7 +210,8 @@ def betweenness(
     Exact by default; an estimate from that many seeded nodes where `pivots` names a number. Weights
     of 0 or below raise an error. A graph of at most TASK_LINKS links is sent to tasks that share the pivots. A larger one is
     cut into blocks that tasks walk to the end, or, with nodes of more links than a block's, followed link by link. There
-    pivots are handled `batch` at a time, by default so many that a batch holds at most STATE_ROWS distances and links.
+    pivots are handled `batch` at a time, by default so many that a batch holds at most STATE_ROWS distances and links;
+    in blocks a quarter of STATE_ROWS distances, since only links on shortest paths are held for each pivot.
     """
     nodes, numbered = number_nodes(directed(edges))
     n = nodes.count()
@@ -221,7 +222,7 @@ def betweenness(
         return nodes.select("node", F.lit(0.0).alias("betweenness"))
     links = numbered.select(F.col("src").alias("node"), F.col("dst").alias("next"), "weight")
     count = links.count()
-    batch = batch or max(1, STATE_ROWS // max(n, count))
+    most = batch or max(1, STATE_ROWS // max(n, count))
     drawn = nodes if k == n else nodes.orderBy(seeded_key("node", seed), "node").limit(k)
     chosen = drawn.select(F.col("id").alias("pivot"))
     chosen = cut(with_row_index(chosen, [F.asc("pivot")], "turn"), "pivots")
@@ -229,10 +230,13 @@ def betweenness(
     cores = edges.sparkSession.sparkContext.defaultParallelism
     if fits_broadcast(links, TASK_LINKS):
         share = -(-k // (3 * cores))
-        total = scratch.cut(_dependencies_of_blocks(chosen, k, links, n, min(share, batch)))
+        total = scratch.cut(_dependencies_of_blocks(chosen, k, links, n, min(share, most)))
     else:
         size = min(TASK_LINKS, max(BLOCK_LINKS, (n + count) // cores))
-        total = _in_batches(scratch, chosen, k, batch, links, graph_of_blocks(scratch, links, n, count, size), n, size)
+        blocks = graph_of_blocks(scratch, links, n, count, size)
+        if blocks is not None:
+            most = batch or max(1, STATE_ROWS // (4 * n))
+        total = _in_batches(scratch, chosen, k, most, links, blocks, n, size)
     scale = 1.0 / ((n - 1) * (n - 2)) * (n / k)
     return nodes.join(total.withColumnRenamed("node", "id"), "id", "left").select(
         "node", (F.coalesce("value", F.lit(0.0)) * scale).alias("betweenness")
