@@ -2,10 +2,11 @@ import heapq
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from agorascope.operators import centrality, communities, edges, graph, lineage, skew
+from agorascope.operators import centrality, communities, edges, graph, lineage, skew, whole
 
 
 def table(spark, rows):
@@ -125,6 +126,40 @@ def test_betweenness_with_a_hub_larger_than_a_block(spark, monkeypatch):
     assert found(centrality.betweenness(table(spark, rows))) == pytest.approx(brandes(rows), abs=1e-12)
 
 
+def test_betweenness_of_a_graph_that_a_task_holds_is_sent_without_blocks(spark, monkeypatch):
+    """A million links and more took one state of all pivots of a block to a task at once."""
+    rows = [(f"n{i:02}", f"n{(3 * i + j) % 40:02}", 1 + (i + j) % 3) for i in range(40) for j in range(5) if (2 * i + j) % 40]
+    monkeypatch.setattr(centrality, "graph_of_blocks", None)
+    monkeypatch.setattr(whole, "PIECE_LINKS", 3)
+    monkeypatch.setattr(whole, "SLICE_LINKS", 4)
+    assert centrality.TASK_LINKS > 30_000_000 and found(centrality.betweenness(table(spark, rows))) == pytest.approx(brandes(rows), abs=1e-12)
+
+
+def test_dependencies_where_no_weight_is_small_and_links_of_a_node_fall_into_slices(monkeypatch):
+    monkeypatch.setattr(whole, "SLICE_LINKS", 3)
+    dice = random.Random(9)
+    rows = sorted({(dice.randrange(20), dice.randrange(20)) for _ in range(90)} | {(3, i) for i in range(20)})
+    rows = [(a, b, dice.randrange(300, 1200)) for a, b in rows if a != b]
+    tail, head, weight = (np.array(side) for side in zip(*rows, strict=True))
+    start = np.searchsorted(tail, np.arange(21))
+    value = np.zeros(20)
+    for pivot in range(20):
+        whole._add_dependency(pivot, start, head.astype(np.int32), weight.astype(np.uint16), int(weight.min()), np.zeros(20, np.int64), value)
+    want = brandes(rows)
+    assert list(value / (19 * 18)) == pytest.approx([want[i] for i in range(20)], abs=1e-12)
+
+
+def test_betweenness_in_blocks_takes_few_pivots_at_a_time_where_blocks_are_large(spark, monkeypatch):
+    batches = []
+    real = centrality._in_batches
+    monkeypatch.setattr(centrality, "TASK_LINKS", 20)
+    monkeypatch.setattr(centrality, "TASK_CELLS", 60)
+    monkeypatch.setattr(centrality, "_in_batches", lambda scratch, pivots, k, batch, *rest: batches.append(batch) or real(scratch, pivots, k, batch, *rest))
+    rows = [(f"n{i:02}", f"n{i + 1:02}", 1 + i % 3) for i in range(8)] + [(f"n{i:02}", "n00", 2) for i in range(2, 8)] + [(f"n{i + 2:02}", f"n{i:02}", 3) for i in range(1, 7)] + [("n08", "n01", 1)]
+    assert found(centrality.betweenness(table(spark, rows))) == pytest.approx(brandes(rows), abs=1e-12)
+    assert batches == [3]
+
+
 def cliques(spark):
     rows = []
     for side in ("a", "b"):
