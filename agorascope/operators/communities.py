@@ -12,12 +12,12 @@ from agorascope.operators.centrality import number_nodes
 from agorascope.operators.edges import undirected
 from agorascope.operators.graph import community_sizes, modularity, vertices
 from agorascope.operators.lineage import Scratch, cut
+from agorascope.operators.moves import IDLE_ROUNDS, MIN_GAIN, TOLERANCE, communities_of_task
 from agorascope.operators.rows import top_k, with_row_index
 from agorascope.operators.skew import HOT_ROWS, fits_broadcast, hot_keys, join_ends, spread_join
 
-MIN_GAIN = 1e-7  # of one move, in edge weight
-TOLERANCE = 1e-7  # of a level, or of one round, in modularity
-IDLE_ROUNDS = 4
+#: Links, and nodes, of a level up to which one task takes it and those above it: 100 bytes each in its largest step.
+TASK_LINKS = 1_000_000
 #: Nodes up to which labels are broadcast. Every round does so several times, and each passes through the driver.
 ROUND_ROWS = 10_000
 
@@ -215,7 +215,8 @@ def louvain(edges: DataFrame) -> DataFrame:
     Blondel et al. 2008 with moves made in parallel: in every round those of the nodes that gain by it which do not spoil each
     other's gain, drawn by hash priority, take the community of largest gain; ties keep the node where it is, then prefer the smallest number.
     After a level's moves, communities that have come apart are split into their pieces, which never lowers modularity (Traag
-    et al. 2019). Levels are added until one gains nothing.
+    et al. 2019). Levels are added until one gains nothing. From the first level of at most TASK_LINKS links on, one task makes
+    the same moves on arrays, since a round on tables costs seconds however small they are.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "louvain")
@@ -232,12 +233,18 @@ def louvain(edges: DataFrame) -> DataFrame:
     member = names.withColumn("community", F.col("node"))
     level = Level(ordered, loops, two_m)
     while two_m:
-        labels, moved = _local_moves(scratch, level)
-        if not moved:
-            break
+        held = fits_broadcast(level.loops, TASK_LINKS) and fits_broadcast(level.pairs, TASK_LINKS)
+        if held:
+            labels = scratch.cut(communities_of_task(level.pairs, level.loops, level.two_m))
+        else:
+            labels, moved = _local_moves(scratch, level)
+            if not moved:
+                break
         side = labels.select(F.col("node").alias("community"), F.col("community").alias("above"))
         member = member.join(side, "community").select("node", F.col("above").alias("community"))
         member = scratch.cut(member)
+        if held:
+            break
         level = _contract(scratch, level, labels)
     found = member.withColumnRenamed("node", "id").join(nodes, "id").select("node", "community")
     sizes = found.groupBy("community").agg(F.count("*").alias("size"), F.min("node").alias("first"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from agorascope.operators import centrality, communities, edges, graph, lineage, skew, whole
+from agorascope.operators import centrality, communities, edges, graph, lineage, moves, skew, whole
 
 
 def table(spark, rows):
@@ -315,6 +315,28 @@ def test_louvain_planted_blocks_without_broadcast(spark, monkeypatch):
     assert len(blocks) == 4 and all(len(b) == 1 for b in blocks.values())
 
 
+def test_louvain_of_a_graph_that_a_task_holds_makes_the_same_moves_in_few_jobs(spark, monkeypatch):
+    dice = random.Random(11)
+    rows = [(f"n{i:02}", f"n{j:02}", dice.randint(1, 4)) for i in range(36) for j in range(i + 1) if dice.random() < (0.6 if i // 9 == j // 9 else 0.08)]
+    links = table(spark, [*rows, ("m0", "m1", 2), ("m2", "m2", 3)])
+
+    def labels(links):
+        return sorted(tuple(r) for r in communities.louvain(links).collect())
+
+    got, jobs = jobs_of(spark, "held", lambda: labels(links))
+    assert labels(table(spark, [("a", "b", 1)])) == [("a", 0), ("b", 0)]
+    monkeypatch.setattr(communities, "TASK_LINKS", 0)
+    want, rounds = jobs_of(spark, "tables", lambda: labels(links))
+    assert got == want and 3 * jobs < rounds
+
+
+def test_draws_of_moves_are_those_of_the_tables(spark):
+    rows = spark.range(-2, 900, 9).select("id", F.xxhash64("id", F.lit(5)).alias("a"), F.xxhash64(F.lit(5), "id").alias("b")).collect()
+    ids = np.array([r.id for r in rows])
+    assert moves.node_then_turn(ids, 5).tolist() == [r.a for r in rows]
+    assert moves.turn_then_node(5, ids).tolist() == [r.b for r in rows]
+
+
 def test_degrees_collapse_and_subgraph(spark):
     links = table(spark, [("a", "b", 2), ("b", "a", 1), ("a", "c", 4), ("", "c", 9), (None, "b", 9), ("c", "d", 1)])
     degrees = {r["node"]: tuple(r)[1:] for r in graph.weighted_degrees(links).collect()}
