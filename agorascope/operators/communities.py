@@ -16,8 +16,9 @@ from agorascope.operators.moves import IDLE_ROUNDS, MIN_GAIN, TOLERANCE, communi
 from agorascope.operators.rows import top_k, with_row_index
 from agorascope.operators.skew import HOT_ROWS, fits_broadcast, hot_keys, join_ends, spread_join
 
-#: Links, and nodes, of a level up to which one task takes it and those above it: 100 bytes each in its largest step.
-TASK_LINKS = 1_000_000
+#: Links, and nodes, of a level up to which one task takes it and those above it, in 60 bytes a link at most. As rows they take BYTES each.
+TASK_LINKS = 6_000_000
+BYTES = 48
 #: Nodes up to which labels are broadcast. Every round does so several times, and each passes through the driver.
 ROUND_ROWS = 10_000
 
@@ -233,7 +234,7 @@ def louvain(edges: DataFrame) -> DataFrame:
     member = names.withColumn("community", F.col("node"))
     level = Level(ordered, loops, two_m)
     while two_m:
-        held = fits_broadcast(level.loops, TASK_LINKS) and fits_broadcast(level.pairs, TASK_LINKS)
+        held = all(fits_broadcast(side, TASK_LINKS, BYTES * TASK_LINKS) for side in (level.loops, level.pairs))
         if held:
             labels = scratch.cut(communities_of_task(level.pairs, level.loops, level.two_m))
         else:

@@ -330,6 +330,18 @@ def test_louvain_of_a_graph_that_a_task_holds_makes_the_same_moves_in_few_jobs(s
     assert got == want and 3 * jobs < rounds
 
 
+def test_moves_do_not_depend_on_the_links_looked_at_at_a_time(monkeypatch):
+    pairs = sorted({(min(a, b), max(a, b)) for a, b, _ in some_graphs()["sparse"] if a != b})
+    src, dst = (np.array(side) for side in zip(*pairs, strict=True))
+    weight = 1.0 + src % 3
+    found = []
+    for size in (1 << 19, 7):
+        monkeypatch.setattr(moves, "SLICE_LINKS", size)
+        graph = moves._graph(np.arange(80), np.arange(80) % 2 * 0.5, src, dst, weight, 2 * weight.sum() + 40.0)
+        found.append(moves._levels(graph).tolist())
+    assert found[0] == found[1] and 1 < len(set(found[0])) < 60
+
+
 def test_draws_of_moves_are_those_of_the_tables(spark):
     rows = spark.range(-2, 900, 9).select("id", F.xxhash64("id", F.lit(5)).alias("a"), F.xxhash64(F.lit(5), "id").alias("b")).collect()
     ids = np.array([r.id for r in rows])
