@@ -135,8 +135,10 @@ def test_betweenness_of_a_graph_that_a_task_holds_is_sent_without_blocks(spark,
     assert centrality.TASK_LINKS > 30_000_000 and found(centrality.betweenness(table(spark, rows))) == pytest.approx(brandes(rows), abs=1e-12)
 
 
-def test_dependencies_where_no_weight_is_small_and_links_of_a_node_fall_into_slices(monkeypatch):
+@pytest.mark.parametrize("held", [0, 9, 2_000_000])
+def test_dependencies_where_no_weight_is_small_and_links_of_a_node_fall_into_slices(monkeypatch, held):
     monkeypatch.setattr(whole, "SLICE_LINKS", 3)
+    monkeypatch.setattr(whole, "HELD_LINKS", held)
     dice = random.Random(9)
     rows = sorted({(dice.randrange(20), dice.randrange(20)) for _ in range(90)} | {(3, i) for i in range(20)})
     rows = [(a, b, dice.randrange(300, 1200)) for a, b in rows if a != b]
